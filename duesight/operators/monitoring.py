@@ -9,7 +9,7 @@ from ..functions.scoring import drift_status
 from ..params import PSI_BINS, PSI_FLOOR
 from ..session import scalar_row
 from .evaluation import METRICS, model_metrics
-from .ordering import quantile_row, quantiles
+from .ordering import edges_passed, inner_edges, quantile_row, quantiles
 
 
 def _long(df: DataFrame, columns: dict[str, str], kind: str) -> DataFrame:
@@ -40,7 +40,8 @@ def _psi(counts: DataFrame) -> DataFrame:
         "ref",
         "cur",
     )
-    total = F.element_at(totals, F.col("feature"))
+    counts = counts.withColumn("_total", F.element_at(totals, F.col("feature")))
+    total = F.col("_total")
     r = F.greatest(F.try_divide(F.col("ref"), total["ref"]), F.lit(PSI_FLOOR))
     c = F.greatest(F.try_divide(F.col("cur"), total["cur"]), F.lit(PSI_FLOOR))
     empty = (total["ref"] == 0) | (total["cur"] == 0)
@@ -77,26 +78,31 @@ def numeric_psi(
         quantiles(ref, "value", [i / bins for i in range(bins + 1)], by="feature")
         .groupBy("feature")
         .agg(F.array_sort(F.collect_set("value")).alias("edges"))
+        # Edges of the outermost bins are open, so only the inner ones separate values.
+        .select("feature", F.size("edges").alias("n_edges"), inner_edges(F.col("edges")).alias("inner"))
     )
-    lookup = _as_map(edges, "feature", "edges")
-    # Edges of the outermost bins are open, so only the inner ones separate values.
-    mine = F.element_at(lookup, F.col("feature"))["edges"]
-    inner = F.filter(mine, lambda e: (e > F.element_at(mine, 1)) & (e < F.element_at(mine, -1)))
+    lookup = _as_map(edges, "feature", "n_edges", "inner")
+    mine = F.element_at(F.col("_lookup"), F.col("feature"))
+    bin_no = edges_passed(F.col("_inner"), bins - 1, lambda e: e <= F.col("value"))
     binned = (
         _by_side(ref, cur)
-        .withColumn("bin", F.greatest(F.size(F.filter(inner, lambda e: e <= F.col("value"))), F.lit(0)))
-        .groupBy("feature", "bin")
+        .withColumn("_lookup", lookup)
+        .withColumn("_inner", mine["inner"])
+        .groupBy("feature", bin_no.alias("bin"))
         .agg(F.sum("ref").alias("ref"), F.sum("cur").alias("cur"))
     )
     # A few rows per feature from here on.
     names = spark.range(1).select(F.explode(F.array(*[F.lit(n) for n in ref_columns])).alias("feature"))
-    spine = names.select(
-        "feature", F.explode(F.sequence(F.lit(0), F.greatest(F.size(inner), F.lit(0)))).alias("bin")
+    known = names.withColumn("_lookup", lookup)
+    spine = known.select(
+        "feature", F.explode(F.sequence(F.lit(0), F.greatest(F.size(mine["inner"]), F.lit(0)))).alias("bin")
     )
     counts = spine.join(binned, ["feature", "bin"], "left").na.fill(0, ["ref", "cur"])
-    flat = F.coalesce(F.size(F.element_at(lookup, F.col("feature"))["edges"]) < 3, F.lit(False))
-    return _psi(counts).select(
-        "feature", F.when(flat & F.col("psi").isNotNull(), F.lit(0.0)).otherwise(F.col("psi")).alias("psi")
+    flat = F.coalesce(mine["n_edges"] < 3, F.lit(False)) & F.col("psi").isNotNull()
+    return (
+        _psi(counts)
+        .withColumn("_lookup", lookup)
+        .select("feature", F.when(flat, F.lit(0.0)).otherwise(F.col("psi")).alias("psi"))
     )
 
 

@@ -7,6 +7,8 @@ accumulated in sequence.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -133,19 +135,30 @@ def quantile_row(df: DataFrame, value: str, probs: list[float], interpolate: boo
     )
 
 
+def inner_edges(edges: Column) -> Column:
+    """Distinct edges strictly between the outer ones (an edge equal to an outer one closes no
+    bucket of its own)."""
+    low, high = F.element_at(edges, 1), F.element_at(edges, -1)
+    return F.filter(F.array_distinct(edges), lambda e: (e > low) & (e < high))
+
+
+def edges_passed(edges: Column, most: int, passed) -> Column:
+    """How many of at most ``most`` edges satisfy ``passed``. Spelled out per edge rather than
+    with a lambda, so that the edges may be a scalar subquery and the code is generated."""
+    hits = [F.coalesce(passed(F.get(edges, F.lit(i))).cast("int"), F.lit(0)) for i in range(most)]
+    return reduce(lambda a, b: a + b, hits)
+
+
 def quantile_bucket(df: DataFrame, value: str, buckets: int, name: str) -> DataFrame:
     """Equal-count buckets 0..n-1, right-closed, lowest value included, duplicate edges merged."""
     probs = [i / buckets for i in range(buckets + 1)]
-    edges = scalar_row(quantile_row(df, value, probs))["edges"]
-    inner = F.array_distinct(F.slice(edges, 2, buckets - 1))
-    # An inner edge equal to an outer one closes no bucket of its own.
-    inner = F.filter(inner, lambda e: (e > F.element_at(edges, 1)) & (e < F.element_at(edges, -1)))
-    return df.withColumn(
-        name,
-        F.when(
-            F.col(value).isNotNull(),
-            F.size(F.filter(inner, lambda e: e < F.col(value).cast("double"))).cast("int"),
-        ),
+    inner = quantile_row(df, value, probs).select(inner_edges(F.col("edges")).alias("inner"))
+    v = F.col(value).cast("double")
+    bucket = edges_passed(F.col("_inner"), buckets - 1, lambda e: e < v)
+    return (
+        df.withColumn("_inner", inner.scalar())
+        .withColumn(name, F.when(v.isNotNull(), bucket))
+        .drop("_inner")
     )
 
 

@@ -106,7 +106,7 @@ def call_list(spark, root):
 
     rows = materialize(stages.silver_outcomes(stages.deduped(spark, root)), "silver")
     paid = labelled(rows)
-    state = history.asof_history(open_book(rows), history.customer_timeline(paid), fold_defaults(paid))
+    state = history.history_before(open_book(rows), paid, fold_defaults(paid))
     stored = materialize(decision.baseline_predict(state), "predictions")
     head = decision.top_of_queue(stored, 20)
     return tidy(

@@ -10,7 +10,7 @@ from .registry import query, tidy
 from .sqlkit import CALENDAR, HIST_OUT, asof, out
 
 
-@query("customer_timeline", f"SELECT {out('customer_id clear_date ' + HIST_OUT)} FROM timeline")
+@query("customer_timeline", f"SELECT {out('customer_id clear_date ' + HIST_OUT)} FROM timeline_builtin_std")
 def customer_timeline(spark, root):
     return tidy(stages.full_timeline(spark, root))
 
@@ -167,7 +167,7 @@ def invoice_features(spark, root):
 
 @query("encoder_fit", 'SELECT "column", value, CAST(code AS BIGINT) AS code FROM enc')
 def encoder_fit(spark, root):
-    return tidy(stages.encoders(spark, root))
+    return tidy(stages.Folds(spark, root, with_customer=True).encoders())
 
 
 @query(
@@ -188,13 +188,13 @@ def encoder_apply(spark, root):
             "business_code": F.when(F.pmod(number, F.lit(60)) != 11, F.col("business_code")),
         }
     )
-    coded = features.encode(rows, stages.encoders(spark, root))
+    coded = features.encode(rows, stages.Folds(spark, root, with_customer=True).encoders())
     return tidy(coded.select("invoice_id", "payment_terms_encoded", "business_code_encoded"))
 
 
 @query("fold_defaults", f"SELECT {out(HIST_OUT)} FROM defaults")
 def fold_defaults(spark, root):
-    return tidy(stages.defaults(spark, root))
+    return tidy(features.fold_defaults(stages.Folds(spark, root).train))
 
 
 @query(
@@ -215,9 +215,9 @@ MATRIX = (
 
 @query("feature_matrix", f"SELECT {out(MATRIX)} FROM open_features")
 def feature_matrix(spark, root):
-    rows = features.encode(
-        features.invoice_features(stages.open_state(spark, root, with_customer=True)), stages.encoders(spark, root)
-    )
+    f = stages.Folds(spark, root, with_customer=True)
+    state = stages.open_state(spark, root, with_customer=True, fitted=f)
+    rows = features.encode(features.invoice_features(state), f.encoders())
     return tidy(rows.select(*[t.partition(":")[0] for t in MATRIX.split()]))
 
 

@@ -60,11 +60,18 @@ def asof(rows: str, timeline: str, defaults: str = "defaults", keep: bool = Fals
     )
 
 
-def _timeline(source: str) -> str:
+# Exact for whole days: integer sums carry no order-dependent rounding, so equal histories give
+# equal values. Bin edges coincide with such values, and noise would move rows across them.
+EXACT_STD = """coalesce(sqrt(greatest(CAST(sum(days_late * days_late) OVER w AS DOUBLE)
+      - CAST(sum(days_late) OVER w AS DOUBLE) * CAST(sum(days_late) OVER w AS DOUBLE) / count(days_late) OVER w, 0.0::DOUBLE)
+      / nullif(CAST(count(days_late) OVER w - 1 AS DOUBLE), 0)), 0.0)"""
+
+
+def _timeline(source: str, std: str = EXACT_STD) -> str:
     return f"""
   SELECT DISTINCT customer_id, clear_date,
     avg(days_late) OVER w AS cust_avg_days_late,
-    coalesce(stddev_samp(days_late) OVER w, 0.0) AS cust_std_days_late,
+    {std} AS cust_std_days_late,
     CAST(count(days_late) OVER w AS DOUBLE) AS cust_invoice_count,
     CAST(min(days_late) OVER w AS DOUBLE) AS cust_min_late,
     CAST(max(days_late) OVER w AS DOUBLE) AS cust_max_late,
@@ -183,6 +190,7 @@ cte(
   FROM silver_inv i LEFT JOIN silver_pay p ON i.invoice_id = p.invoice_id""",
 )
 cte("timeline", _timeline("labelled"))
+cte("timeline_builtin_std", _timeline("labelled", "coalesce(stddev_samp(days_late) OVER w, 0.0)"))
 cte("cut", "SELECT quantile_disc(posting_date, 0.8) AS cutoff_date FROM labelled")
 cte("cut90", "SELECT quantile_disc(posting_date, 0.9) AS cutoff_date FROM labelled")
 cte(

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..operators import decision, dedupe, features, history, outcomes, quality
 from ..params import ScoringRun
 from ..schemas import INVOICE_COLS, PAYMENT_COLS
-from ..session import materialize, scalar_row
+from ..session import materialize
 from ..sources import testdata
 
 RUNS = [
@@ -59,55 +59,57 @@ def closed_ledger(spark: SparkSession, root: str) -> DataFrame:
 
 
 def cutoff_date(spark: SparkSession, root: str, test_fraction: float = 0.2) -> Column:
-    return scalar_row(features.cutoff(closed(spark, root), test_fraction))["cutoff_date"]
+    """First posting date of the test fold, as a constant.
 
+    Fitted scalars (this date, the cold-start values) are worked out once and stay fixed for
+    everything built on them, as a stored model run would keep them.
+    """
+    return F.lit(features.cutoff(closed(spark, root), test_fraction).first()["cutoff_date"])
 
-def folds(spark: SparkSession, root: str, with_customer: bool = False) -> tuple[DataFrame, DataFrame]:
-    rows = closed_ledger(spark, root) if with_customer else closed(spark, root)
-    day = cutoff_date(spark, root)
-    return rows.filter(F.col("posting_date") < day), rows.filter(F.col("posting_date") >= day)
 
+class Folds:
+    """Training and test rows of the ledger with what is fitted on the training fold."""
 
-def defaults(spark: SparkSession, root: str) -> DataFrame:
-    return features.fold_defaults(folds(spark, root)[0])
+    def __init__(self, spark: SparkSession, root: str, with_customer: bool = False):
+        rows = closed_ledger(spark, root) if with_customer else closed(spark, root)
+        self.cutoff = cutoff_date(spark, root)
+        self.train = rows.filter(F.col("posting_date") < self.cutoff)
+        self.test = rows.filter(F.col("posting_date") >= self.cutoff)
+        self.defaults = features.fold_defaults(self.train).first().asDict()
 
+    def timeline(self) -> DataFrame:
+        """The training fold only: right at fitting time."""
+        return history.customer_timeline(self.train)
 
-def full_timeline(spark: SparkSession, root: str) -> DataFrame:
-    """All cleared invoices: right at serving time."""
-    return history.customer_timeline(closed(spark, root))
-
-
-def train_timeline(spark: SparkSession, root: str) -> DataFrame:
-    """The training fold only: right at fitting time."""
-    return history.customer_timeline(folds(spark, root)[0])
+    def state(self, rows: DataFrame) -> DataFrame:
+        return history.history_before(rows, self.train, self.defaults)
 
+    def encoders(self) -> DataFrame:
+        return features.fit_encoders(self.train)
 
-def encoders(spark: SparkSession, root: str) -> DataFrame:
-    return features.fit_encoders(folds(spark, root, with_customer=True)[0])
 
+def defaults(spark: SparkSession, root: str) -> dict:
+    return Folds(spark, root).defaults
 
-def train_state(spark: SparkSession, root: str) -> DataFrame:
-    train = folds(spark, root, with_customer=True)[0]
-    return history.asof_history(train, train_timeline(spark, root), defaults(spark, root))
 
-
-def test_state(spark: SparkSession, root: str, with_customer: bool = False) -> DataFrame:
-    test = folds(spark, root, with_customer)[1]
-    return history.asof_history(test, train_timeline(spark, root), defaults(spark, root))
+def full_timeline(spark: SparkSession, root: str) -> DataFrame:
+    """All cleared invoices: right at serving time."""
+    return history.customer_timeline(closed(spark, root))
 
 
 def fold_features(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     """Training and test feature matrices, both with training-fold history and encoders."""
-    codes = encoders(spark, root)
-    return tuple(
-        features.encode(features.invoice_features(s), codes)
-        for s in (train_state(spark, root), test_state(spark, root, with_customer=True))
-    )
+    f = Folds(spark, root, with_customer=True)
+    codes = f.encoders()
+    return tuple(features.encode(features.invoice_features(f.state(r)), codes) for r in (f.train, f.test))
 
 
-def open_state(spark: SparkSession, root: str, with_customer: bool = False) -> DataFrame:
+def open_state(
+    spark: SparkSession, root: str, with_customer: bool = False, fitted: Folds | None = None
+) -> DataFrame:
     rows = testdata.ledger(spark, root) if with_customer else testdata.outcomes(spark, root)
-    return history.asof_history(outcomes.open_book(rows), full_timeline(spark, root), defaults(spark, root))
+    fixed = (fitted or Folds(spark, root)).defaults
+    return history.history_before(outcomes.open_book(rows), closed(spark, root), fixed)
 
 
 # --- scoring --------------------------------------------------------------------
@@ -121,9 +123,10 @@ def stored_open_predictions(spark: SparkSession, root: str, with_customer: bool
     return materialize(open_predictions(spark, root, with_customer), "predictions")
 
 
-def test_scored(spark: SparkSession, root: str) -> DataFrame:
+def test_scored(spark: SparkSession, root: str, fitted: Folds | None = None) -> DataFrame:
     """Test fold with baseline predictions and the outcome as ``actual``."""
-    return decision.baseline_predict(test_state(spark, root)).withColumn("actual", F.col("days_late"))
+    f = fitted or Folds(spark, root)
+    return decision.baseline_predict(f.state(f.test)).withColumn("actual", F.col("days_late"))
 
 
 def capped(spark: SparkSession, root: str, with_customer: bool = False) -> DataFrame:
@@ -144,8 +147,9 @@ def log(spark: SparkSession, root: str, with_customer: bool = False) -> DataFram
     rows = testdata.ledger(spark, root) if with_customer else testdata.outcomes(spark, root).withColumns(
         {"customer_name": F.lit(None).cast("string"), "business_code": F.lit(None).cast("string")}
     )
-    scope = outcomes.scoring_scope(rows, "both", cutoff_date(spark, root))
-    state = history.asof_history(scope, full_timeline(spark, root), defaults(spark, root))
+    f = Folds(spark, root)
+    scope = outcomes.scoring_scope(rows, "both", f.cutoff)
+    state = history.history_before(scope, closed(spark, root), f.defaults)
     scored = decision.score_runs(features.invoice_features(state), RUNS)
     later = cutoff_date(spark, root, 0.1)
     return scored.filter(
