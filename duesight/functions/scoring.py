@@ -85,3 +85,8 @@ def interval_text(lower: Column, upper: Column) -> Column:
         F.ceil(upper).cast("int").cast("string"),
         F.lit(" days"),
     )
+
+
+def cents(amount: Column) -> Column:
+    """Round an average to cents; float noise is cut first, so half cents always round up."""
+    return F.round(F.round(amount, 6), 2)

@@ -12,7 +12,7 @@ from ..functions.dates import plus_days
 from ..params import DecisionParams, ScoringRun
 from ..schemas import HIST_COLS, TIERS
 from ..session import scalar_row
-from .ordering import quantile_row, rank_rows, sample_n, top_n
+from .ordering import grouped_quantile_values, rank_rows, sample_n, top_n
 
 DEFAULTS = DecisionParams()
 
@@ -322,8 +322,11 @@ def segment_customers(gold: DataFrame, exact: bool = True) -> DataFrame:
     """Median split on lateness and on variability; customers without a std are left out."""
     known = gold.filter(F.col("std_days_late").isNotNull())
     if exact:
-        late = scalar_row(quantile_row(known, "avg_days_late", [0.5]))["edges"][0]
-        std = scalar_row(quantile_row(known, "std_days_late", [0.5]))["edges"][0]
+        pairs = F.array(
+            *[F.struct(F.lit(c).alias("m"), F.col(c).alias("v")) for c in ("avg_days_late", "std_days_late")]
+        )
+        medians = grouped_quantile_values(known.select(F.inline(pairs)), "v", [0.5], "m")
+        late, std = (F.lit(medians[c][0] if medians else None) for c in ("avg_days_late", "std_days_late"))
     else:
         row = scalar_row(
             known.agg(

@@ -9,14 +9,18 @@ from ..functions.scoring import drift_status
 from ..params import PSI_BINS, PSI_FLOOR
 from ..session import scalar_row
 from .evaluation import METRICS, model_metrics
-from .ordering import edges_passed, inner_edges, quantile_row, quantiles
+from .ordering import edges_passed, grouped_quantile_values, quantile_values
 
 
-def _long(df: DataFrame, columns: dict[str, str], kind: str) -> DataFrame:
-    """Rows ``(feature, value)`` of the named columns, without missing or non-finite values."""
+def _require(df: DataFrame, columns: dict[str, str]) -> None:
     missing = [c for c in columns.values() if c not in df.columns]
     if missing:
         raise ValueError(f"features missing from input: {missing}")
+
+
+def _long(df: DataFrame, columns: dict[str, str], kind: str) -> DataFrame:
+    """Rows ``(feature, value)`` of the named columns, without missing or non-finite values."""
+    _require(df, columns)
     pairs = F.array(
         *[F.struct(F.lit(n).alias("feature"), F.col(c).cast(kind).alias("value")) for n, c in columns.items()]
     )
@@ -26,28 +30,15 @@ def _long(df: DataFrame, columns: dict[str, str], kind: str) -> DataFrame:
     return out
 
 
-def _as_map(df: DataFrame, key: str, *values: str) -> Column:
-    """A few-row lookup (one row per feature) as a map constant."""
-    entry = F.struct(F.col(key), F.struct(*values))
-    return df.agg(F.map_from_entries(F.collect_list(entry))).scalar()
-
-
 def _psi(counts: DataFrame) -> DataFrame:
     """``(feature, bin, ref, cur)`` counts to one index per feature; NULL if a side is empty."""
-    totals = _as_map(
-        counts.groupBy("feature").agg(F.sum("ref").alias("ref"), F.sum("cur").alias("cur")),
-        "feature",
-        "ref",
-        "cur",
-    )
-    counts = counts.withColumn("_total", F.element_at(totals, F.col("feature")))
-    total = F.col("_total")
-    r = F.greatest(F.try_divide(F.col("ref"), total["ref"]), F.lit(PSI_FLOOR))
-    c = F.greatest(F.try_divide(F.col("cur"), total["cur"]), F.lit(PSI_FLOOR))
-    empty = (total["ref"] == 0) | (total["cur"] == 0)
-    return counts.groupBy("feature").agg(
-        F.sum(F.when(~empty, (c - r) * F.ln(c / r))).alias("psi")
-    )
+    totals = counts.groupBy("feature").agg(F.sum("ref").alias("_ref"), F.sum("cur").alias("_cur"))
+    # One row per feature.
+    both = counts.join(F.broadcast(totals), "feature")
+    r = F.greatest(F.try_divide(F.col("ref"), F.col("_ref")), F.lit(PSI_FLOOR))
+    c = F.greatest(F.try_divide(F.col("cur"), F.col("_cur")), F.lit(PSI_FLOOR))
+    empty = (F.col("_ref") == 0) | (F.col("_cur") == 0)
+    return both.groupBy("feature").agg(F.sum(F.when(~empty, (c - r) * F.ln(c / r))).alias("psi"))
 
 
 def _by_side(reference: DataFrame, current: DataFrame) -> DataFrame:
@@ -56,54 +47,64 @@ def _by_side(reference: DataFrame, current: DataFrame) -> DataFrame:
     )
 
 
+def reference_edges(reference: DataFrame, columns: dict[str, str], bins: int = PSI_BINS) -> dict[str, list[float]]:
+    """Distinct reference quantiles per feature: the fitted part of a drift check."""
+    tall = _long(reference, columns, "double")
+    found = grouped_quantile_values(tall, "value", [i / bins for i in range(bins + 1)], "feature")
+    return {name: sorted(set(found.get(name, []))) for name in columns}
+
+
 def numeric_psi(
     reference: DataFrame,
     current: DataFrame,
     ref_columns: dict[str, str],
     cur_columns: dict[str, str] | None = None,
     bins: int = PSI_BINS,
+    edges: dict[str, list[float]] | None = None,
 ) -> DataFrame:
     """Population stability of numeric features, all features in one pass: ``(feature, psi)``.
 
-    Bin edges are the exact reference quantiles, bins are left-closed, shares are floored. A
-    near-constant reference (fewer than three distinct edges) gives 0, an empty side NULL.
+    Bin edges are the exact reference quantiles (or stored ``edges``), bins are left-closed,
+    shares are floored. A near-constant reference (fewer than three distinct edges) gives 0, an
+    empty side NULL.
     """
     cur_columns = cur_columns or ref_columns
     if set(cur_columns) != set(ref_columns):
         raise ValueError("both sides must name the same features")
-    spark = reference.sparkSession
-    ref = _long(reference, ref_columns, "double")
-    cur = _long(current, cur_columns, "double")
-    edges = (
-        quantiles(ref, "value", [i / bins for i in range(bins + 1)], by="feature")
-        .groupBy("feature")
-        .agg(F.array_sort(F.collect_set("value")).alias("edges"))
-        # Edges of the outermost bins are open, so only the inner ones separate values.
-        .select("feature", F.size("edges").alias("n_edges"), inner_edges(F.col("edges")).alias("inner"))
-    )
-    lookup = _as_map(edges, "feature", "n_edges", "inner")
-    mine = F.element_at(F.col("_lookup"), F.col("feature"))
-    bin_no = edges_passed(F.col("_inner"), bins - 1, lambda e: e <= F.col("value"))
-    binned = (
-        _by_side(ref, cur)
-        .withColumn("_lookup", lookup)
-        .withColumn("_inner", mine["inner"])
-        .groupBy("feature", bin_no.alias("bin"))
+    edges = edges or reference_edges(reference, ref_columns, bins)
+    # Edges of the outermost bins are open, so only the inner ones separate values.
+    inner = {name: e[1:-1] for name, e in edges.items()}
+
+    def binned(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+        def bin_of(name: str, column: str) -> Column:
+            v = F.col(column).cast("double")
+            usable = v.isNotNull() & ~F.isnan(v) & (F.abs(v) != float("inf"))
+            return F.when(usable, edges_passed(inner[name], column, "<="))
+
+        pairs = [
+            F.struct(F.lit(n).alias("feature"), bin_of(n, c).alias("bin")) for n, c in columns.items()
+        ]
+        return df.select(F.inline(F.array(*pairs))).filter("bin is not null")
+
+    _require(reference, ref_columns)
+    _require(current, cur_columns)
+    filled = (
+        _by_side(binned(reference, ref_columns), binned(current, cur_columns))
+        .groupBy("feature", "bin")
         .agg(F.sum("ref").alias("ref"), F.sum("cur").alias("cur"))
     )
-    # A few rows per feature from here on.
-    names = spark.range(1).select(F.explode(F.array(*[F.lit(n) for n in ref_columns])).alias("feature"))
-    known = names.withColumn("_lookup", lookup)
-    spine = known.select(
-        "feature", F.explode(F.sequence(F.lit(0), F.greatest(F.size(mine["inner"]), F.lit(0)))).alias("bin")
-    )
-    counts = spine.join(binned, ["feature", "bin"], "left").na.fill(0, ["ref", "cur"])
-    flat = F.coalesce(mine["n_edges"] < 3, F.lit(False)) & F.col("psi").isNotNull()
-    return (
-        _psi(counts)
-        .withColumn("_lookup", lookup)
-        .select("feature", F.when(flat, F.lit(0.0)).otherwise(F.col("psi")).alias("psi"))
+    every = F.array(
+        *[
+            F.struct(F.lit(n).alias("feature"), F.lit(i).alias("bin"))
+            for n in ref_columns
+            for i in range(len(inner[n]) + 1)
+        ]
     )
+    # A few rows per feature from here on; empty bins are there too.
+    spine = reference.sparkSession.range(1).select(F.inline(every))
+    counts = spine.join(filled, ["feature", "bin"], "left").na.fill(0, ["ref", "cur"])
+    flat = F.col("feature").isin([n for n, e in edges.items() if len(e) < 3]) & F.col("psi").isNotNull()
+    return _psi(counts).withColumn("psi", F.when(flat, F.lit(0.0)).otherwise(F.col("psi")))
 
 
 def categorical_psi(reference: DataFrame, current: DataFrame, columns: list[str]) -> DataFrame:
@@ -140,18 +141,22 @@ def drift_report(
 def prediction_drift(reference: DataFrame, current: DataFrame, label: str = "days_late") -> DataFrame:
     """Is the output distribution moving? Predictions against training labels."""
     psi = numeric_psi(reference, current, {"prediction": label}, {"prediction": "days_late_pred"})
-    p90 = scalar_row(quantile_row(current, "days_late_pred", [0.9]))["edges"][0]
-    return current.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.avg("days_late_pred").alias("mean_pred"),
-        F.avg("p_late").alias("mean_p_late"),
-    ).select(
-        psi.select("psi").scalar().alias("psi"),
-        drift_status(psi.select("psi").scalar()).alias("status"),
-        "n",
-        "mean_pred",
-        p90.alias("p90_pred"),
-        "mean_p_late",
+    p90 = quantile_values(current, "days_late_pred", [0.9])
+    return (
+        current.agg(
+            F.count(F.lit(1)).alias("n"),
+            F.avg("days_late_pred").alias("mean_pred"),
+            F.avg("p_late").alias("mean_p_late"),
+        )
+        .withColumn("psi", psi.select("psi").scalar())
+        .select(
+            "psi",
+            drift_status(F.col("psi")).alias("status"),
+            "n",
+            "mean_pred",
+            F.lit(p90[0] if p90 else None).cast("double").alias("p90_pred"),
+            "mean_p_late",
+        )
     )
 
 

@@ -7,8 +7,6 @@ accumulated in sequence.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,10 +32,10 @@ def rank_rows(df: DataFrame, order_by: list[Column], rank: str = "rank") -> Data
     sorted rows are written once; the numbers are then plain arithmetic on that table.
     """
     placed = materialize(
-        df.orderBy(*order_by).withColumn("_pos", F.monotonically_increasing_id()), "ranked"
+        df.orderBy(*order_by).withColumn("__row", F.monotonically_increasing_id()), "ranked"
     )
-    part = F.shiftright("_pos", _ROW_BITS)
-    row = F.col("_pos").bitwiseAND((1 << _ROW_BITS) - 1)
+    part = F.shiftright("__row", _ROW_BITS)
+    row = F.col("__row").bitwiseAND((1 << _ROW_BITS) - 1)
     counts = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("rows"))
     # One row per range partition: the size of this side is the partition count.
     offsets = F.broadcast(_starts(counts, "rows"))
@@ -45,7 +43,7 @@ def rank_rows(df: DataFrame, order_by: list[Column], rank: str = "rank") -> Data
         placed.withColumn("_part", part)
         .join(offsets, "_part")
         .withColumn(rank, (F.col("_before_rows") + row + 1).cast("long"))
-        .drop("_part", "_pos", "_before_rows")
+        .drop("_part", "__row", "_before_rows")
     )
 
 
@@ -126,40 +124,44 @@ def quantiles(
     return out if by else out.drop(label)
 
 
-def quantile_row(df: DataFrame, value: str, probs: list[float], interpolate: bool = True) -> DataFrame:
-    """The same as one row with one array column ``edges`` in the order of ``probs``."""
-    return (
-        quantiles(df, value, probs, interpolate=interpolate)
-        .agg(F.array_sort(F.collect_list(F.struct("q", "value"))).alias("s"))
-        .select(F.transform("s", lambda x: x["value"]).alias("edges"))
-    )
+def quantile_values(df: DataFrame, value: str, probs: list[float], interpolate: bool = True) -> list[float]:
+    """Quantiles as constants, in the order of ``probs`` (empty without values). They are fitted
+    scalars: worked out once, then fixed in every plan that uses them."""
+    rows = quantiles(df, value, probs, interpolate=interpolate).collect()  # len(probs) rows
+    found = {r["q"]: r["value"] for r in rows}
+    return [found[p] for p in probs] if found else []
+
 
+def grouped_quantile_values(
+    df: DataFrame, value: str, probs: list[float], by: str
+) -> dict[str, list[float]]:
+    """The same per label; ``len(labels) * len(probs)`` numbers."""
+    found: dict[str, dict[float, float]] = {}
+    for r in quantiles(df, value, probs, by=by).collect():
+        found.setdefault(r[by], {})[r["q"]] = r["value"]
+    return {name: [got[p] for p in probs] for name, got in found.items()}
 
-def inner_edges(edges: Column) -> Column:
+
+def inner_edges(edges: list[float]) -> list[float]:
     """Distinct edges strictly between the outer ones (an edge equal to an outer one closes no
     bucket of its own)."""
-    low, high = F.element_at(edges, 1), F.element_at(edges, -1)
-    return F.filter(F.array_distinct(edges), lambda e: (e > low) & (e < high))
+    return [e for e in sorted(set(edges)) if edges[0] < e < edges[-1]]
 
 
-def edges_passed(edges: Column, most: int, passed) -> Column:
-    """How many of at most ``most`` edges satisfy ``passed``. Spelled out per edge rather than
-    with a lambda, so that the edges may be a scalar subquery and the code is generated."""
-    hits = [F.coalesce(passed(F.get(edges, F.lit(i))).cast("int"), F.lit(0)) for i in range(most)]
-    return reduce(lambda a, b: a + b, hits)
+def edges_passed(edges: list[float], value: str, compare: str) -> Column:
+    """How many of the ascending ``edges`` lie ``<`` or ``<=`` the value of a column."""
+    cases = " ".join(
+        f"WHEN {e!r}D {compare} CAST(`{value}` AS DOUBLE) THEN {i}"
+        for i, e in reversed(list(enumerate(edges, start=1)))
+    )
+    return F.expr(f"CASE {cases} ELSE 0 END") if edges else F.lit(0)
 
 
 def quantile_bucket(df: DataFrame, value: str, buckets: int, name: str) -> DataFrame:
     """Equal-count buckets 0..n-1, right-closed, lowest value included, duplicate edges merged."""
-    probs = [i / buckets for i in range(buckets + 1)]
-    inner = quantile_row(df, value, probs).select(inner_edges(F.col("edges")).alias("inner"))
-    v = F.col(value).cast("double")
-    bucket = edges_passed(F.col("_inner"), buckets - 1, lambda e: e < v)
-    return (
-        df.withColumn("_inner", inner.scalar())
-        .withColumn(name, F.when(v.isNotNull(), bucket))
-        .drop("_inner")
-    )
+    edges = quantile_values(df, value, [i / buckets for i in range(buckets + 1)])
+    bucket = edges_passed(inner_edges(edges) if edges else [], value, "<")
+    return df.withColumn(name, F.when(F.col(value).isNotNull(), bucket))
 
 
 def top_n(df: DataFrame, n: int, *order_by: Column) -> DataFrame:

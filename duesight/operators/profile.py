@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import math
+
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -130,13 +134,19 @@ def histogram(df: DataFrame, value: Column, low: float, high: float, width: floa
 
 
 def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Every pair of columns with its Pearson correlation (NULL for a constant column)."""
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
+    """Every pair of columns with its Pearson correlation (NULL for a constant column).
+
+    One matrix pass over the rows; only the small matrix itself reaches the driver.
+    """
+    vectors = VectorAssembler(inputCols=columns, outputCol="_v").transform(df.na.drop(subset=columns))
+    matrix = Correlation.corr(vectors.select("_v"), "_v").head()[0].toArray()
     rows = [
-        F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.corr(a, b).alias("corr"))
-        for a, b in pairs
+        (a, b, None if math.isnan(matrix[i][j]) else float(matrix[i][j]))
+        for i, a in enumerate(columns)
+        for j, b in enumerate(columns)
+        if i < j
     ]
-    return df.agg(F.array(*rows).alias("r")).select(F.inline("r"))
+    return df.sparkSession.createDataFrame(rows, "feature_a string, feature_b string, corr double")
 
 
 def sanity_counts(features: DataFrame) -> DataFrame:

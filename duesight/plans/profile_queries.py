@@ -3,7 +3,9 @@
 from pyspark.sql import functions as F
 
 from ..operators import history, profile
+from ..operators.features import encode, invoice_features
 from ..schemas import FEATURE_COLS
+from ..session import materialize
 from ..sources import testdata
 from . import stages
 from .registry import query, tidy
@@ -49,8 +51,6 @@ DESCRIBED = ["days_late_pred", "days_late_lower", "days_late_upper", "cust_invoi
     ),
 )
 def describe(spark, root):
-    from ..session import materialize
-
     rows = materialize(stages.open_predictions(spark, root).select(*DESCRIBED), "predictions")
     return tidy(profile.describe(rows, DESCRIBED))
 
@@ -146,7 +146,8 @@ def _corr_sql() -> str:
 
 @query("correlations", _corr_sql())
 def correlations(spark, root):
-    train, _ = stages.fold_features(spark, root)
+    f = stages.Folds(spark, root, with_customer=True)
+    train = encode(invoice_features(f.state(f.train)), f.encoders())
     return tidy(profile.correlations(train, CORRELATED))
 
 
@@ -158,8 +159,6 @@ def correlations(spark, root):
         count(*) FILTER (WHERE business_code_encoded = -1) AS unseen_codes, sum(is_open) AS open_rows FROM open_features) x""",
 )
 def sanity_counts(spark, root):
-    from ..operators.features import encode, invoice_features
-
     f = stages.Folds(spark, root, with_customer=True)
     rows = encode(invoice_features(stages.open_state(spark, root, with_customer=True, fitted=f)), f.encoders())
     return tidy(profile.sanity_counts(rows))

@@ -154,6 +154,7 @@ cte(
                           CAST(try_strptime(due_date, '%Y-%m-%d') AS DATE) AS due_date)
         FROM deduped WHERE event_type = 'invoice_created') e""",
 )
+cte("inv_tagged_raw", CTES["inv_tagged"].replace("deduped", "bronze"))
 cte(
     "pay_tagged",
     """

@@ -43,7 +43,7 @@ def v_executive_kpis(spark, root):
     """SELECT CAST(rank AS BIGINT) AS rank, action, customer_name, invoice_id, round(invoice_amount, 2) AS amount, due_date,
       predicted_payment_date, CAST(ceil(days_late_pred) AS BIGINT) AS days_late_predicted,
       CAST(CAST(ceil(days_late_lower) AS INTEGER) AS VARCHAR) || ' to ' || CAST(CAST(ceil(days_late_upper) AS INTEGER) AS VARCHAR) || ' days' AS prediction_interval,
-      round(p_late, 2) AS p_late, round(p_responds, 2) AS p_responds, round(expected_value, 2) AS expected_value FROM queue""",
+      round(p_late, 2) AS p_late, CAST(round(CAST(p_responds AS DECIMAL(10, 3)), 2) AS DOUBLE) AS p_responds, round(expected_value, 2) AS expected_value FROM queue""",
 )
 def v_collection_queue(spark, root):
     return tidy(views.collection_queue(stages.queue(spark, root)))
@@ -85,7 +85,7 @@ def v_invoice_detail(spark, root):
 @query(
     "v_customer_segments",
     """SELECT customer_id, round(avg_days_late, 1) AS avg_days_late, round(std_days_late, 1) AS payment_variability,
-      CAST(invoice_count AS BIGINT) AS invoice_count, round(avg_invoice_amount, 2) AS avg_invoice_amount,
+      CAST(invoice_count AS BIGINT) AS invoice_count, CAST(round(CAST(avg_invoice_amount AS DECIMAL(18, 6)), 2) AS DOUBLE) AS avg_invoice_amount,
       CASE WHEN avg_days_late > ml AND std_days_late > ms THEN 'Late & Erratic' WHEN avg_days_late > ml THEN 'Late but Predictable'
         WHEN std_days_late > ms THEN 'Prompt but Erratic' ELSE 'Prompt & Reliable' END AS segment
     FROM gold, (SELECT quantile_disc(avg_days_late, 0.5) AS ml, quantile_disc(std_days_late, 0.5) AS ms FROM gold WHERE std_days_late IS NOT NULL) m

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scoring import interval_text
+from ..functions.scoring import cents, interval_text
 from ..operators.decision import segment_customers, strategy_comparison
 from ..operators.dedupe import latest_per_key
 
@@ -98,7 +98,7 @@ def customer_segments(gold: DataFrame) -> DataFrame:
         F.round("avg_days_late", 1).alias("avg_days_late"),
         F.round("std_days_late", 1).alias("payment_variability"),
         "invoice_count",
-        F.round("avg_invoice_amount", 2).alias("avg_invoice_amount"),
+        cents(F.col("avg_invoice_amount")).alias("avg_invoice_amount"),
         "segment",
     )
 

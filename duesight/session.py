@@ -18,6 +18,8 @@ def local_session(cores: int | str = "*", app: str = "duesight", **conf: str) ->
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "12g")
+        # Call-site capture per column expression doubles the time to build wide plans.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
