@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import scoring as S
 from ..params import DecisionParams
 from .decision import value_predictions
-from .ordering import prefix_sums, quantile_bucket, quantiles, sample_n, top_n
+from .ordering import prefix_sums, quantile_bucket, quantile_values, quantiles, sample_n, top_n
 
 PCT = 100.0
 
@@ -80,20 +80,28 @@ def error_metrics(df: DataFrame, by: str | None = None) -> DataFrame:
 def model_metrics(df: DataFrame, by: str | None = None, digits: int | None = None) -> DataFrame:
     """All eleven metrics. ``digits`` rounds the AUC score first (scores equal to that many
     digits then count as ties)."""
-    name, label = _label(by)
-    rows = df.withColumn(name, label) if not by else df
     score = S.p_late(F.col("days_late_lower"), F.col("days_late_upper"))
-    rows = rows.withColumns(
+    rows = df.withColumns(
         {
             "_score": F.round(score, digits) if digits is not None else score,
             "_abs_error": F.abs(F.col("actual") - F.col("days_late_pred")),
         }
     )
-    median = quantiles(rows, "_abs_error", [0.5], by=name).select(name, F.col("value").alias("median_ae"))
-    auc = late_auc(rows, "_score", by=name)
+    if by is None:
+        median = quantile_values(rows, "_abs_error", [0.5])
+        return error_metrics(rows).withColumns(
+            {
+                "median_ae": F.lit(median[0] if median else None).cast("double"),
+                "late_auc": late_auc(rows, "_score").scalar(),
+            }
+        )
+    median = quantiles(rows, "_abs_error", [0.5], by=by).select(by, F.col("value").alias("median_ae"))
     # One row per label on every side.
-    out = error_metrics(rows, by=name).join(F.broadcast(median), name, "left").join(F.broadcast(auc), name, "left")
-    return out if by else out.drop(name)
+    return (
+        error_metrics(rows, by)
+        .join(F.broadcast(median), by, "left")
+        .join(F.broadcast(late_auc(rows, "_score", by=by)), by, "left")
+    )
 
 
 METRICS = [

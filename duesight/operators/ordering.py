@@ -7,6 +7,8 @@ accumulated in sequence.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -185,3 +187,15 @@ def page(df: DataFrame, number: int, size: int, *order_by: Column) -> DataFrame:
         .withColumn("total", total)
         .withColumn("pages", F.ceil(total / size).cast("long"))
     )
+
+
+def page_after(df: DataFrame, size: int, keys: list[str], after: tuple | None = None) -> DataFrame:
+    """The next rows behind a key position: unlike an offset it costs the same for every page.
+    The keys must be unique together."""
+    if after is not None:
+        later = F.lit(False)
+        for i, key in enumerate(keys):
+            same = reduce(lambda a, b: a & b, [F.col(k) == F.lit(v) for k, v in zip(keys[:i], after)], F.lit(True))
+            later = later | (same & (F.col(key) > F.lit(after[i])))
+        df = df.filter(later)
+    return df.orderBy(*keys).limit(size)

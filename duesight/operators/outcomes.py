@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..schemas import CREATED, INVOICE_COLS, PAID
+from .quality import REASON, tag_events
+
 
 def join_outcomes(invoices: DataFrame, payments: DataFrame) -> DataFrame:
     """Attach the payment; unpaid invoices survive with a NULL label. ``days_late`` is signed."""
@@ -16,6 +19,35 @@ def join_outcomes(invoices: DataFrame, payments: DataFrame) -> DataFrame:
     )
 
 
+def outcomes_from_events(deduped: DataFrame) -> DataFrame:
+    """Validate, keep one row per invoice id and attach the payment, in one pass over the events.
+
+    Same rows as validating, deduplicating and joining the two event types separately, but the
+    events are read and shuffled once: creation and payment of an invoice meet in one group. Of
+    several clean rows for an id the latest ingestion wins, then the smallest event id; copies
+    are reduced before the shuffle.
+    """
+    tagged = tag_events(deduped).filter(F.col(REASON).isNull())
+    newest = F.struct(-F.unix_micros(F.col("_ingested_at").cast("timestamp")), "_event_id")
+    created, paid = F.col("event_type") == CREATED, F.col("event_type") == PAID
+    columns = [c for c in INVOICE_COLS if c != "invoice_id"]
+    return (
+        tagged.groupBy("invoice_id")
+        .agg(
+            F.min_by(F.struct(*columns), F.when(created, newest)).alias("i"),
+            F.min_by("clear_date", F.when(paid, newest)).alias("clear_date"),
+        )
+        .filter("i is not null")
+        .select("invoice_id", "i.*", "clear_date")
+        .withColumns(
+            {
+                "days_late": F.datediff("clear_date", "due_date"),
+                "is_open": F.col("clear_date").isNull().cast("int"),
+            }
+        )
+    )
+
+
 def delayed_labels(latest: DataFrame, payments: DataFrame) -> DataFrame:
     """Predictions with the outcome that has arrived since; waiting rows stay."""
     return latest.join(payments.select("invoice_id", "clear_date"), "invoice_id", "left").withColumns(

@@ -43,7 +43,7 @@ def silver(events: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def silver_outcomes(events: DataFrame) -> DataFrame:
-    return outcomes.join_outcomes(*silver(events))
+    return outcomes.outcomes_from_events(events)
 
 
 # --- history and features -------------------------------------------------------
@@ -85,7 +85,8 @@ class Folds:
         return history.history_before(rows, self.train, self.defaults)
 
     def encoders(self) -> DataFrame:
-        return features.fit_encoders(self.train)
+        """Stored: a small table of known size that several lookups read."""
+        return materialize(features.fit_encoders(self.train), "encoders")
 
 
 def defaults(spark: SparkSession, root: str) -> dict:

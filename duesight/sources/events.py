@@ -45,12 +45,9 @@ def ledger_events(ledger: DataFrame, source: str = "ledger") -> DataFrame:
         payment_terms=F.col("payment_terms"),
         business_code=F.col("business_code"),
     )
-    paid = F.when(
-        F.col("clear_date").isNotNull(),
-        event("paid", PAID, F.col("clear_date"), clear_date=F.col("clear_date")),
-    )
-    both = F.filter(F.array(created, paid), lambda e: e.isNotNull())
-    return ledger.select(F.inline(both))
+    paid = event("paid", PAID, F.col("clear_date"), clear_date=F.col("clear_date"))
+    emitted = F.when(F.col("clear_date").isNotNull(), F.array(created, paid)).otherwise(F.array(created))
+    return ledger.select(F.inline(emitted))
 
 
 def inject_faults(events: DataFrame, number: Column, early_due: str = "1990-01-01") -> DataFrame:

@@ -65,11 +65,13 @@ def validate_stream(events: DataFrame, clean_path: str, rejected_path: str, chec
     """
 
     def write(batch: DataFrame, number: int) -> None:
+        batch.persist()  # read by three branches
         invoices, bad_invoices = split(tag_invoices(batch))
         _, bad_payments = split(tag_payments(batch))
         rejected = bad_invoices.select(*QUARANTINE_COLS).unionByName(bad_payments.select(*QUARANTINE_COLS))
         invoices.select(*INVOICE_COLS).write.mode("overwrite").parquet(f"{clean_path}/batch={number}")
         rejected.write.mode("overwrite").parquet(f"{rejected_path}/batch={number}")
+        batch.unpersist()
 
     query = (
         events.writeStream.foreachBatch(write)
