@@ -11,7 +11,9 @@ from .quality import REASON, tag_events
 
 def join_outcomes(invoices: DataFrame, payments: DataFrame) -> DataFrame:
     """Attach the payment; unpaid invoices survive with a NULL label. ``days_late`` is signed."""
-    return invoices.join(payments.select("invoice_id", "clear_date"), "invoice_id", "left").withColumns(
+    # Events carry an empty clear_date on creation rows; the payment's is the one that counts.
+    bare = invoices.drop("clear_date")
+    return bare.join(payments.select("invoice_id", "clear_date"), "invoice_id", "left").withColumns(
         {
             "days_late": F.datediff("clear_date", "due_date"),
             "is_open": F.col("clear_date").isNull().cast("int"),
