@@ -68,21 +68,27 @@ def cutoff_date(spark: SparkSession, root: str, test_fraction: float = 0.2) -> C
 
 
 class Folds:
-    """Training and test rows of the ledger with what is fitted on the training fold."""
+    """Training and test rows of the ledger with what is fitted on the training fold.
+
+    ``paid`` are the training rows without customer attributes: history and defaults need none,
+    so they are not joined for them.
+    """
 
     def __init__(self, spark: SparkSession, root: str, with_customer: bool = False):
-        rows = closed_ledger(spark, root) if with_customer else closed(spark, root)
+        bare = closed(spark, root)
+        rows = closed_ledger(spark, root) if with_customer else bare
         self.cutoff = cutoff_date(spark, root)
+        self.paid = bare.filter(F.col("posting_date") < self.cutoff)
         self.train = rows.filter(F.col("posting_date") < self.cutoff)
         self.test = rows.filter(F.col("posting_date") >= self.cutoff)
-        self.defaults = features.fold_defaults(self.train).first().asDict()
+        self.defaults = features.fold_defaults(self.paid).first().asDict()
 
     def timeline(self) -> DataFrame:
         """The training fold only: right at fitting time."""
-        return history.customer_timeline(self.train)
+        return history.customer_timeline(self.paid)
 
     def state(self, rows: DataFrame) -> DataFrame:
-        return history.history_before(rows, self.train, self.defaults)
+        return history.history_before(rows, self.paid, self.defaults)
 
     def encoders(self) -> DataFrame:
         """Stored: a small table of known size that several lookups read."""

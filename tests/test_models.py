@@ -111,9 +111,24 @@ def test_latest_prediction_and_pages(spark):
 
 
 def test_views_are_published(spark, root):
-    queue = decision.cap_calls(decision.value_predictions(stages.stored_open_predictions(spark, root)))
-    queue = queue.withColumn("queue_date", F.lit("2024-01-01").cast("date"))
-    names = register_views(spark, {"queue": queue.withColumn("rank", F.lit(1)).withColumn("customer_name", F.lit("x")).withColumn(
-        "predicted_payment_date", F.col("due_date")), "gold": history.gold_customer(stages.closed(spark, root))})
+    stored = stages.stored_open_predictions(spark, root, with_customer=True)
+    queue = decision.cap_calls(decision.value_predictions(stored)).withColumns(
+        {
+            "queue_date": F.lit("2024-01-01").cast("date"),
+            "rank": F.lit(1),
+            "predicted_payment_date": F.col("due_date"),
+            "model_version": F.lit("1"),
+            "scored_at": F.lit("2024-01-01"),
+        }
+    )
+    names = register_views(spark, {"queue": queue, "gold": history.gold_customer(stages.closed(spark, root))})
     assert "v_executive_kpis" in names and "v_customer_segments" in names and "v_drift_latest" not in names
     assert spark.sql("select open_invoices from v_executive_kpis").first()[0] == queue.count()
+
+
+def test_setup_and_catalog(spark):
+    from duesight.sources.tables import catalog_table_exists, setup
+
+    setup(spark, "duesight_test")
+    assert spark.catalog.databaseExists("duesight_test")
+    assert not catalog_table_exists(spark, "duesight_test.nothing")
