@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.scoring import drift_status
 from ..params import PSI_BINS, PSI_FLOOR
 from ..session import scalar_row
-from .evaluation import METRICS, model_metrics
+from .evaluation import model_metrics
 from .ordering import edges_passed, grouped_quantile_values, quantile_values
 
 
@@ -232,17 +232,3 @@ def late_rate_gap(outcomes: DataFrame, predictions: DataFrame) -> DataFrame:
         "mean_pred",
         "mean_width",
     )
-
-
-__all__ = [
-    "METRICS",
-    "categorical_psi",
-    "category_counts",
-    "drift_report",
-    "label_lag",
-    "late_rate_gap",
-    "live_performance",
-    "metric_delta",
-    "numeric_psi",
-    "prediction_drift",
-]

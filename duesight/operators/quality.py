@@ -93,8 +93,8 @@ def reason_counts(tagged_invoices: DataFrame, tagged_payments: DataFrame) -> Dat
 def dq_metrics(counts: DataFrame, rows_in: Column, run_at: Column) -> DataFrame:
     """One row per stage from ``reason_counts``.
 
-    ``rows_in`` is the caller's denominator (the whole bronze table in the reference
-    semantics); ``rows_stage`` is what this stage saw.
+    ``rows_in`` is the caller's denominator (usually the whole bronze table, replays and both
+    event types included); ``rows_stage`` is what this stage saw.
     """
     bad = F.when(F.col(REASON).isNotNull(), F.col("n"))
     return (

@@ -3,13 +3,13 @@
 from pyspark.sql import functions as F
 
 from ..functions.dates import plus_days
-from ..operators import decision, evaluation, features, guards, history, monitoring
+from ..operators import decision, features, guards, history, monitoring
 from ..schemas import DRIFT_CATEGORICAL, DRIFT_NUMERIC, RAW_INPUT_COLS
 from ..session import materialize, new_folder
 from ..sources import ledger_csv, testdata
 from ..sources.tables import Tables
 from . import stages, views
-from .evaluation_queries import DRIFT_SQL, LIVE, METRIC_OUT, _drift_sides, metrics_sql
+from .evaluation_queries import DRIFT_SQL, LIVE, _drift_sides, metrics_sql
 from .registry import query, tidy
 from .silver_queries import TAGGED, _dq
 from .sqlkit import HIST_OUT, out
@@ -343,6 +343,3 @@ def feature_table(spark, root):
     """The timeline as a full-refresh table, scanned back by name."""
     tables = Tables(spark, new_folder(spark, "tables"))
     return tidy(tables.refresh(stages.full_timeline(spark, root), "customer_timeline"))
-
-
-__all__ = ["METRIC_OUT", "drift_log", "evaluation", "performance_log"]
