@@ -87,11 +87,14 @@ def stream_validate(spark, root):
 def stream_dq(spark, root):
     """Tumbling day windows over the raw event table."""
     stream = spark.readStream.schema(testdata.SCHEMAS["events"]).option("pathGlobFilter", "events.parquet").parquet(root)
-    stream = stream.withColumn("ts", F.col("ts").cast("timestamp"))
+    # The stored times are UTC without a zone: day windows must not depend on the session's zone.
+    utc, here = F.lit("UTC"), F.current_timezone()
+    stream = stream.withColumn("ts", F.convert_timezone(utc, here, F.col("ts")).cast("timestamp"))
     path = new_folder(spark, "windows")
     stateful.drain_updates(stateful.window_counts(stream, "ts", "event_type"), path, new_folder(spark, "state"))
     final = dedupe.latest_per_key(spark.read.parquet(path), ["window_start", "event_type"], F.col("batch").desc())
-    return tidy(final.drop("batch")).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+    start = F.convert_timezone(here, utc, F.col("window_start").cast("timestamp_ntz"))
+    return tidy(final.drop("batch")).withColumn("window_start", start)
 
 
 # --- models -----------------------------------------------------------------------
