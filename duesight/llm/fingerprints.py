@@ -23,6 +23,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -156,7 +157,7 @@ def edited_likeness(docs: DataFrame, words: np.ndarray, p: FingerprintParams = F
 
     Ids are split into even ranges; a range is one sorted run, and the first document of a range
     is sent to the range before it as well, so no order over all rows is needed. The text moves
-    once. Rows of one id follow one another by text; rows without id are left out of the order
+    once, compressed. Rows of one id follow one another by compressed text; rows without id are left out of the order
     and take themselves as the next document.
     """
     spark = docs.sparkSession
@@ -182,7 +183,7 @@ def edited_likeness(docs: DataFrame, words: np.ndarray, p: FingerprintParams = F
         return pd.Series(out, dtype=object)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = shared.value[0]
+        words, plain = shared.value[0], zstandard.ZstdDecompressor()
         held: tuple | None = None  # the last row, which waits for its next
 
         def row(one: tuple, after: tuple) -> tuple:
@@ -195,8 +196,8 @@ def edited_likeness(docs: DataFrame, words: np.ndarray, p: FingerprintParams = F
         names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
         for batch in batches:
             rows = []
-            for rng, own, doc_id, text in zip(batch["range"], batch["own"], batch["doc_id"], batch["text"]):
-                text = text or ""
+            for rng, own, doc_id, packed in zip(batch["range"], batch["own"], batch["doc_id"], batch["packed"]):
+                text = plain.decompress(packed).decode()
                 now = (rng, doc_id, text, fingerprint(text, words, p))
                 if rng < 0:
                     rows.append(row((rng, None, *now[2:]), now))
@@ -209,9 +210,14 @@ def edited_likeness(docs: DataFrame, words: np.ndarray, p: FingerprintParams = F
                 frame["doc_id"] = frame["doc_id"].astype("Int64")
                 yield frame
 
-    dealt = docs.select("doc_id", "text", F.explode(placed("doc_id")).alias("p")).select("p.range", "p.own", "doc_id", "text")
+    @F.pandas_udf("binary")
+    def packed(column: pd.Series) -> pd.Series:
+        small = zstandard.ZstdCompressor(level=1)
+        return pd.Series([small.compress((x or "").encode("utf-8", "replace")) for x in column], dtype=object)
+
+    dealt = docs.select("doc_id", packed("text").alias("packed"), F.explode(placed("doc_id")).alias("p")).select("p.range", "p.own", "doc_id", "packed")
     spread = F.when(F.col("range") < 0, F.monotonically_increasing_id()).otherwise(0)
-    ordered = dealt.withColumn("spread", spread).repartition("range", "spread").sortWithinPartitions("range", F.desc("own"), "doc_id", "text")
+    ordered = dealt.withColumn("spread", spread).repartition("range", "spread").sortWithinPartitions("range", F.desc("own"), "doc_id", "packed")
     schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
     return ordered.drop("spread").mapInPandas(run, schema)
 
