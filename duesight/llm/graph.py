@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 
-_BITS = 21
+_BITS = 23
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -41,18 +41,22 @@ def _slot(key: Column) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(1 << _BITS))
 
 
-def may_hold(rows: DataFrame, key: str, ids: DataFrame, name: str) -> DataFrame:
-    """Rows whose ``key`` may be among ``ids[name]`` (a superset; rows are never lost).
+def flagged(rows: DataFrame, key: str, ids: DataFrame, name: str) -> DataFrame:
+    """Add ``may__hold``: may ``key`` be among ``ids[name]``? Never false for one that is.
 
-    The ids are hashed into 2^21 bits, at most 2^15 broadcast rows however many ids there are.
+    The ids are hashed into 2^23 bits, at most 2^17 broadcast rows however many ids there are.
     Used to keep what can't matter out of a shuffle; an exact join follows.
     """
-    slot = _slot(F.col(name))
-    words = (
-        ids.select(F.shiftright(slot, 6).alias("may__w"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64(`{name}`), 64) as int))").alias("bit"))
-        .groupBy("may__w")
-        .agg(F.bit_or("bit").alias("may__bits"))
-    )
-    bit = F.expr(f"shiftleft(1L, cast(pmod(xxhash64(`{key}`), 64) as int))")
-    held = rows.withColumn("may__w", F.shiftright(_slot(F.col(key)), 6)).join(F.broadcast(words), "may__w")
-    return held.filter(F.col("may__bits").bitwiseAND(bit) != 0).drop("may__w", "may__bits")
+
+    def bit(column: str) -> Column:
+        return F.expr(f"shiftleft(1L, cast(pmod(xxhash64(`{column}`), 64) as int))")
+
+    words = ids.select(F.shiftright(_slot(F.col(name)), 6).alias("may__w"), bit(name).alias("bit"))
+    words = words.groupBy("may__w").agg(F.bit_or("bit").alias("may__bits"))
+    held = rows.withColumn("may__w", F.shiftright(_slot(F.col(key)), 6)).join(F.broadcast(words), "may__w", "left")
+    return held.withColumn("may__hold", F.coalesce(F.col("may__bits").bitwiseAND(bit(key)) != 0, F.lit(False))).drop("may__w", "may__bits")
+
+
+def may_hold(rows: DataFrame, key: str, ids: DataFrame, name: str) -> DataFrame:
+    """The rows so flagged: a superset of those whose key is among the ids."""
+    return flagged(rows, key, ids, name).filter("may__hold").drop("may__hold")
