@@ -17,6 +17,7 @@ document are averaged, labels without id or value count nothing. Without labels
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,7 +35,7 @@ _BANDS = 10
 
 @dataclass(frozen=True)
 class QualityParams:
-    labelled: int = 4096  # bound of the labelled sample
+    labelled: int = 2048  # bound of the labelled sample
     dimensions: int = 48
     neighbours: int = 15
     threshold: float = 0.3
@@ -85,6 +86,11 @@ def terms(text: str | None) -> np.ndarray:
     return out
 
 
+def _unit(x: np.ndarray) -> np.ndarray:
+    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+    return x
+
+
 class KnnModel:
     def __init__(self, counts: np.ndarray, labels: np.ndarray, p: QualityParams):
         self.p, self.labels = p, labels.astype(np.float32)
@@ -94,23 +100,21 @@ class KnnModel:
         seen = (counts > 0).sum(axis=0)
         self.idf = np.log((1 + len(counts)) / (1 + seen)).astype(np.float32)
         x = self._weighted(counts)
-        # Right singular vectors from the terms' Gram matrix: its size is fixed.
-        values, vectors = np.linalg.eigh((x.T @ x).astype(np.float64))
-        self.basis = vectors[:, np.argsort(-values)[: p.dimensions]].astype(np.float32)
-        self.vectors = self._project(counts)
+        # Right singular vectors by way of the sample's Gram matrix, whose size is bounded.
+        values, left = np.linalg.eigh((x @ x.T).astype(np.float64))
+        first = np.argsort(-values)[: p.dimensions]
+        self.basis = (x.T @ left[:, first].astype(np.float32)) / np.sqrt(np.maximum(values[first], 1e-9)).astype(np.float32)
+        self.vectors = _unit(x @ self.basis)
 
     def _weighted(self, counts: np.ndarray) -> np.ndarray:
-        x = np.log1p(counts) * self.idf
-        return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
-
-    def _project(self, counts: np.ndarray) -> np.ndarray:
-        x = self._weighted(counts) @ self.basis
-        return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+        x = np.log1p(counts)
+        x *= self.idf
+        return _unit(x)
 
     def score(self, counts: np.ndarray) -> np.ndarray:
         if not len(self.labels):
             return np.full(len(counts), self.prior)
-        x = self._project(counts)
+        x = _unit(self._weighted(counts) @ self.basis)
         cosine = x @ self.vectors.T
         k = min(self.p.neighbours, len(self.labels))
         # Of equal similarities the first rows: a step far below the similarities' precision.
@@ -131,14 +135,16 @@ def fit(docs: DataFrame, labels: DataFrame, p: QualityParams = QualityParams())
 
     def run(batches):
         for batch in batches:
-            rows = [(*shared.value[i], terms(t).tobytes()) for i, t in zip(batch["doc_id"], batch["text"]) if i in shared.value]
+            rows = [(*shared.value[i], zlib.compress(terms(t).tobytes(), 1)) for i, t in zip(batch["doc_id"], batch["text"]) if i in shared.value]
             yield pd.DataFrame(rows, columns=["place", "quality", "terms"])
 
     # Repeated rows of a document would vote repeatedly: one of them is taken.
     found = docs.select("doc_id", "text").mapInPandas(run, "place int, quality double, terms binary")
     rows = found.groupBy("place", "quality").agg(F.min("terms").alias("terms")).orderBy("place").collect()
-    counts = np.array([np.frombuffer(r["terms"], np.float32) for r in rows]).reshape(len(rows), TERMS)
-    return KnnModel(counts, np.array([r["quality"] for r in rows]), p)
+    counts, votes = np.empty((len(rows), TERMS), np.float32), np.array([r["quality"] for r in rows])
+    for i, row in enumerate(rows):
+        counts[i] = np.frombuffer(zlib.decompress(row["terms"]), np.float32)
+    return KnnModel(counts, votes, p)
 
 
 def score(docs: DataFrame, model: KnnModel, text: str = "text") -> DataFrame:
