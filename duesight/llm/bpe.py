@@ -32,7 +32,7 @@ from tokenizers import Tokenizer
 from .common import documents
 
 #: Fragments a worker remembers.
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 200_000
 # Byte-level alphabet (printable bytes stand for themselves) and split pattern.
 _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"

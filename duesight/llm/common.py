@@ -12,11 +12,16 @@ from pyspark.sql import functions as F
 
 #: Distinct keys a task holds before it hands its partial counts to the shuffle.
 FLUSH_KEYS = 200_000
+#: Documents in one batch for a Python worker.
+BATCH_ROWS = 1_000
 
 
 def importable(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it. Executors on other
-    machines get it with ``--py-files``, as any package."""
+    """Let Python workers import this package from where the driver has it (executors on other
+    machines get it with ``--py-files``, as any package), and hand them texts in small batches:
+    rows here are whole documents, for which ten thousand to a batch are many."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     root, known = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
     paths = known.get("PYTHONPATH", "").split(os.pathsep)
     if root not in paths:
