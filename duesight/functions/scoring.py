@@ -37,13 +37,13 @@ def expected_value(
 
 
 def action_tier(days_late: Column, amount: Column, p: DecisionParams = DEFAULTS) -> Column:
-    days, size = F.ceil(days_late), F.abs(amount)
+    """What to do about a predicted delay; without a prediction an invoice is watched."""
+    days, remind = F.ceil(days_late), F.ceil(days_late) >= p.remind_delay_days
     return (
         F.when(days <= 0, "OK")
-        .when(days > p.call_delay_days, "CALL")
-        .when(days < p.remind_delay_days, "WATCH")
-        .when(size > p.call_amount, "CALL")
-        .otherwise("REMIND")
+        .when((days > p.call_delay_days) | (remind & (F.abs(amount) > p.call_amount)), "CALL")
+        .when(remind, "REMIND")
+        .otherwise("WATCH")
     )
 
 

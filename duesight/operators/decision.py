@@ -138,15 +138,12 @@ def value_breakdown(df: DataFrame, p: DecisionParams = DEFAULTS) -> DataFrame:
 def cap_calls(valued: DataFrame, p: DecisionParams = DEFAULTS) -> DataFrame:
     """Keep the ``daily_capacity`` most valuable calls, demote the rest to REMIND.
 
-    ``invoice_id`` must be unique. The kept ids are a distributed top-k; they are broadcast
-    because their number is the capacity.
+    ``invoice_id`` must be unique. The kept ids are a distributed top-k of ``daily_capacity`` rows.
     """
     calls = valued.filter("action = 'CALL'").select("invoice_id", "expected_value")
     kept = top_n(
         calls, p.daily_capacity, F.col("expected_value").desc(), F.col("invoice_id").asc()
     ).select("invoice_id", F.lit(True).alias("_kept"))
-    if p.daily_capacity <= 100_000:
-        kept = F.broadcast(kept)
     over = (F.col("action") == "CALL") & F.col("_kept").isNull()
     return (
         valued.join(kept, "invoice_id", "left")

@@ -18,11 +18,15 @@ def latest_per_key(df: DataFrame, keys: list[str], *newest: Column) -> DataFrame
 
 
 def dedupe_events(bronze: DataFrame) -> DataFrame:
-    """Latest ingestion of every event id. Replays share an id, so they collapse here."""
+    """Latest ingestion of every event id. Replays share an id, so they collapse here. Events
+    without an id are told apart by what they say, so that validation can count each of them."""
     newest = [F.col("_ingested_at").desc_nulls_last()]
     if "event_timestamp" in bronze.columns:
         newest.append(F.col("event_timestamp").desc_nulls_last())
-    return latest_per_key(bronze, ["_event_id"], *newest)
+    said = [F.col(f"`{c}`") for c in bronze.columns if not c.startswith("_")] or [F.lit(0)]
+    nameless = F.when(F.col("_event_id").isNull(), F.xxhash64(*said))
+    keyed = bronze.withColumn("_nameless", nameless)
+    return latest_per_key(keyed, ["_event_id", "_nameless"], *newest).drop("_nameless")
 
 
 def dedupe_business_key(rows: DataFrame, key: str = "invoice_id") -> DataFrame:

@@ -99,8 +99,8 @@ def model_metrics(df: DataFrame, by: str | None = None, digits: int | None = Non
     # One row per label on every side.
     return (
         error_metrics(rows, by)
-        .join(F.broadcast(median), by, "left")
-        .join(F.broadcast(late_auc(rows, "_score", by=by)), by, "left")
+        .join(median, by, "left")
+        .join(late_auc(rows, "_score", by=by), by, "left")
     )
 
 

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.keys import sample_order
 from ..params import ModelParams
 from ..schemas import FEATURE_CATEGORY, FEATURE_COLS
+from ..session import materialize
 from .decision import order_interval
 from .features import encode
 from .history import fill_history
@@ -88,7 +89,8 @@ def fit_interval(
         .agg(cuts.alias("c"))
         .select("leaf", F.col("c")[0].alias("days_late_lower"), F.col("c")[1].alias("days_late_upper"))
     )
-    return IntervalModel(tree, leaves)
+    # Stored: at most 2^depth rows that every prediction reads, instead of the training matrix.
+    return IntervalModel(tree, materialize(leaves, "leaves"))
 
 
 @dataclass

@@ -175,7 +175,7 @@ def live_performance(joined: DataFrame, digits: int | None = None) -> DataFrame:
         F.percentile("label_lag_days", F.lit(0.5)).alias("median_label_lag_days"),
     )
     # One row per model version on both sides.
-    return metrics.join(F.broadcast(labels), "model_version").drop("n")
+    return metrics.join(labels, "model_version").drop("n")
 
 
 def label_lag(joined: DataFrame) -> DataFrame:

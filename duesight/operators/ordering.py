@@ -84,12 +84,12 @@ def quantiles(
     label = by or "_all"
     values = df.select(
         (F.col(by) if by else F.lit(0)).alias(label), F.col(value).cast("double").alias("_v")
-    ).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    ).filter(F.col("_v").isNotNull() & ~F.isnan("_v") & (F.abs("_v") != float("inf")))
     counts = values.groupBy(label, "_v").agg(F.count(F.lit(1)).alias("_n"))
     running = prefix_sums(counts, [F.col(label), F.col("_v")], {"_upto": "_n"})
     # One row per label.
     span = running.groupBy(label).agg(F.max("_upto").alias("_end"), F.sum("_n").alias("_total"))
-    placed = running.join(F.broadcast(span), label).withColumn(
+    placed = running.join(span, label).withColumn(
         "_upto", F.col("_upto") - F.col("_end") + F.col("_total")
     )
     if interpolate:
@@ -152,11 +152,11 @@ def inner_edges(edges: list[float]) -> list[float]:
 
 def edges_passed(edges: list[float], value: str, compare: str) -> Column:
     """How many of the ascending ``edges`` lie ``<`` or ``<=`` the value of a column."""
-    cases = " ".join(
-        f"WHEN {e!r}D {compare} CAST(`{value}` AS DOUBLE) THEN {i}"
-        for i, e in reversed(list(enumerate(edges, start=1)))
-    )
-    return F.expr(f"CASE {cases} ELSE 0 END") if edges else F.lit(0)
+    at, passed = F.col(value).cast("double"), F.lit(0)
+    for i, edge in enumerate(edges, start=1):
+        low = F.lit(float(edge))
+        passed = F.when(low < at if compare == "<" else low <= at, i).otherwise(passed)
+    return passed
 
 
 def quantile_bucket(df: DataFrame, value: str, buckets: int, name: str) -> DataFrame:

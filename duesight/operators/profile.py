@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-import math
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -136,17 +133,22 @@ def histogram(df: DataFrame, value: Column, low: float, high: float, width: floa
 def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
     """Every pair of columns with its Pearson correlation (NULL for a constant column).
 
-    One matrix pass over the rows; only the small matrix itself reaches the driver.
+    Each pair uses the rows that have both values. One pass; the result is one row until it is
+    unfolded.
     """
-    vectors = VectorAssembler(inputCols=columns, outputCol="_v").transform(df.na.drop(subset=columns))
-    matrix = Correlation.corr(vectors.select("_v"), "_v").head()[0].toArray()
-    rows = [
-        (a, b, None if math.isnan(matrix[i][j]) else float(matrix[i][j]))
-        for i, a in enumerate(columns)
-        for j, b in enumerate(columns)
-        if i < j
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
+
+    def pearson(a: str, b: str) -> Column:
+        both = F.col(a).isNotNull() & F.col(b).isNotNull()
+        spread = F.sqrt(F.var_pop(F.when(both, F.col(a))) * F.var_pop(F.when(both, F.col(b))))
+        return F.try_divide(F.covar_pop(a, b), spread)
+
+    found = df.agg(*[pearson(a, b).alias(f"_{i}") for i, (a, b) in enumerate(pairs)])
+    cells = [
+        F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.col(f"_{i}").alias("corr"))
+        for i, (a, b) in enumerate(pairs)
     ]
-    return df.sparkSession.createDataFrame(rows, "feature_a string, feature_b string, corr double")
+    return found.select(F.inline(F.array(*cells)))
 
 
 def sanity_counts(features: DataFrame) -> DataFrame:

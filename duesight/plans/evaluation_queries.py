@@ -24,7 +24,7 @@ def _names(spec: str) -> list[str]:
 
 @query("prediction_log", f"SELECT {out(LOG_OUT)} FROM pred_log")
 def prediction_log(spark, root):
-    rows = stages.log(spark, root, with_customer=True)
+    rows = stages.log(spark, root)
     return tidy(rows.select(*_names(LOG_OUT)), money="invoice_amount")
 
 

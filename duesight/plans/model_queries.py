@@ -16,8 +16,7 @@ from .registry import query, tidy
 from .silver_queries import EVENT_OUT
 from .sqlkit import out
 
-# Fewer trees than the library default: these queries fit several models per run.
-QUICK = ModelParams(trees=20)
+PARAMS = ModelParams()
 EVENT_NAMES = [t.partition(":")[0] for t in EVENT_OUT.split()]
 
 
@@ -65,18 +64,22 @@ def stream_labels(spark, root):
 @query(
     "stream_validate",
     """SELECT 'clean' AS kind, NULL AS reason, CAST(count(*) AS BIGINT) AS n FROM (SELECT reason FROM inv_tagged_raw WHERE reason IS NULL) a
-    UNION ALL SELECT 'rejected', reason, CAST(count(*) AS BIGINT) FROM inv_tagged_raw WHERE reason IS NOT NULL GROUP BY reason""",
+    UNION ALL SELECT 'paid', NULL, CAST(count(*) AS BIGINT) FROM pay_tagged_raw WHERE reason IS NULL
+    UNION ALL SELECT 'rejected', reason, CAST(count(*) AS BIGINT) FROM
+      (SELECT reason FROM inv_tagged_raw UNION ALL SELECT reason FROM pay_tagged_raw) b WHERE reason IS NOT NULL GROUP BY reason""",
 )
 def stream_validate(spark, root):
-    """Validation per micro-batch, clean and rejected rows in two tables (replays included)."""
-    clean, rejected = new_folder(spark, "clean"), new_folder(spark, "rejected")
+    """Validation per micro-batch: clean invoices, clean payments, rejected rows (replays included)."""
+    clean, paid, rejected = (new_folder(spark, k) for k in ("clean", "paid", "rejected"))
     stream = bronze.read_events(spark, _landing(spark, root))
-    stateful.validate_stream(stream, clean, rejected, new_folder(spark, "state"))
+    stateful.validate_stream(stream, clean, paid, rejected, new_folder(spark, "state"))
+    none = F.lit(None).cast("string").alias("reason")
     kinds = [
-        spark.read.parquet(clean).select(F.lit("clean").alias("kind"), F.lit(None).cast("string").alias("reason")),
+        spark.read.parquet(clean).select(F.lit("clean").alias("kind"), none),
+        spark.read.parquet(paid).select(F.lit("paid").alias("kind"), none),
         spark.read.parquet(rejected).select(F.lit("rejected").alias("kind"), F.col("_reject_reason").alias("reason")),
     ]
-    return kinds[0].unionByName(kinds[1]).groupBy("kind", "reason").agg(F.count(F.lit(1)).alias("n"))
+    return kinds[0].unionByName(kinds[1]).unionByName(kinds[2]).groupBy("kind", "reason").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(
@@ -118,7 +121,7 @@ def _score_report(scored):
 def gbt_mean(spark, root):
     """Boosted mean model on the chronological hold-out."""
     _, _, train, test = _fitted(spark, root)
-    scored = models.fit_mean(train, QUICK).transform(test)
+    scored = models.fit_mean(train, PARAMS).transform(test)
     mean = F.col("days_late_pred")
     return _score_report(scored.withColumns({"days_late_lower": mean, "days_late_upper": mean}))
 
@@ -127,7 +130,7 @@ def gbt_mean(spark, root):
 def leaf_quantiles(spark, root):
     """Interval model: coverage of the nominal 80 % interval on the hold-out."""
     _, _, train, test = _fitted(spark, root)
-    scored = models.fit_interval(train, QUICK).transform(test)
+    scored = models.fit_interval(train, PARAMS).transform(test)
     middle = (F.col("days_late_lower") + F.col("days_late_upper")) / 2
     return _score_report(scored.withColumn("days_late_pred", middle))
 
@@ -136,7 +139,7 @@ def leaf_quantiles(spark, root):
 def bundle_predict(spark, root):
     """Fit on the training fold, score the open book from raw inputs."""
     f, codes, train, _ = _fitted(spark, root)
-    model = models.fit_bundle(train, codes, f.defaults, QUICK)
+    model = models.fit_bundle(train, codes, f.defaults, PARAMS)
     rows = features.invoice_features(stages.open_state(spark, root, with_customer=True, fitted=f))
     scored = model.predict(rows.select("invoice_id", *RAW_INPUT_COLS))
     return tidy(scored.select("invoice_id", "days_late_pred", "days_late_lower", "days_late_upper", "p_late"))
@@ -145,13 +148,13 @@ def bundle_predict(spark, root):
 @query("permutation_importance")
 def permutation_importance(spark, root):
     _, _, train, test = _fitted(spark, root)
-    return tidy(models.permutation_importance(models.fit_mean(train, QUICK), test))
+    return tidy(models.permutation_importance(models.fit_mean(train, PARAMS), test))
 
 
 @query("importance_rollup")
 def importance_rollup(spark, root):
     _, _, train, _ = _fitted(spark, root)
-    return tidy(models.importance_rollup(models.importances(models.fit_mean(train, QUICK))))
+    return tidy(models.importance_rollup(models.importances(models.fit_mean(train, PARAMS))))
 
 
 @query("leakage_experiment")
@@ -177,9 +180,9 @@ def leakage_experiment(spark, root):
     for name, (folded, with_interval) in variants.items():
         matrix = materialize(features.encode(features.invoice_features(folded), codes), "variant")
         train, test = (matrix.filter(F.col("fold") == k) for k in ("train", "test"))
-        scored = models.fit_mean(train, QUICK).transform(test)
+        scored = models.fit_mean(train, PARAMS).transform(test)
         if with_interval:
-            scored = models.fit_interval(train, QUICK).transform(scored.drop(models.VECTOR))
+            scored = models.fit_interval(train, PARAMS).transform(scored.drop(models.VECTOR))
         else:
             null = F.lit(None).cast("double")
             scored = scored.withColumns({"days_late_lower": null, "days_late_upper": null})
@@ -202,12 +205,12 @@ def leakage_experiment(spark, root):
 def model_runs(spark, root):
     """Fit, record, save, load: the reloaded model must predict the same, in order."""
     f, codes, train, test = _fitted(spark, root)
-    model = models.fit_bundle(train, codes, f.defaults, QUICK)
+    model = models.fit_bundle(train, codes, f.defaults, PARAMS)
     raw = test.select("invoice_id", "days_late", *RAW_INPUT_COLS)
     scored = materialize(model.predict(raw), "scored")
     tables = Tables(spark, new_folder(spark, "tables"))
     metrics = evaluation.error_metrics(scored.withColumn("actual", F.col("days_late")))
-    params = {"trees": QUICK.trees, "depth": QUICK.depth, "features": len(FEATURE_COLS)}
+    params = {"trees": PARAMS.trees, "depth": PARAMS.depth, "features": len(FEATURE_COLS)}
     cutoff = str(features.cutoff(stages.closed(spark, root)).first()["cutoff_date"])
     runs = tables.append(
         models.run_record("run-1", "1", params, f.defaults, cutoff, metrics, True), "model_runs", "created_at"

@@ -163,6 +163,7 @@ cte(
   FROM (SELECT * REPLACE (CAST(try_strptime(clear_date, '%Y-%m-%d') AS DATE) AS clear_date)
         FROM deduped WHERE event_type = 'invoice_paid') e""",
 )
+cte("pay_tagged_raw", CTES["pay_tagged"].replace("deduped", "bronze"))
 cte(
     "rejected",
     """

@@ -148,12 +148,10 @@ def queue(spark: SparkSession, root: str, with_customer: bool = True) -> DataFra
     return decision.date_range(ranked)
 
 
-def log(spark: SparkSession, root: str, with_customer: bool = False) -> DataFrame:
+def log(spark: SparkSession, root: str) -> DataFrame:
     """Prediction log of two runs. The second model was cut off later, so it has a shorter
     backtest window."""
-    rows = testdata.ledger(spark, root) if with_customer else testdata.outcomes(spark, root).withColumns(
-        {"customer_name": F.lit(None).cast("string"), "business_code": F.lit(None).cast("string")}
-    )
+    rows = testdata.ledger(spark, root)
     f = Folds(spark, root)
     scope = outcomes.scoring_scope(rows, "both", f.cutoff)
     state = history.history_before(scope, closed(spark, root), f.defaults)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,20 +28,11 @@ def local_session(cores: int | str = "*", app: str = "duesight", **conf: str) ->
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder for lineage cuts: the cluster's ``spark.checkpoint.dir``.
-
-    Only a local session may fall back to a temporary folder; on a cluster a folder of one
-    machine is not visible to the others, so a missing setting is an error there.
-    """
+    """Folder for lineage cuts: the cluster's ``spark.checkpoint.dir``; where it is unset, a folder
+    below the session's table storage, which all executors reach as well."""
     sc = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if folder:
-        return folder
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="duesight-")
-    sc.setCheckpointDir(folder)
-    return sc.getCheckpointDir()
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_stages"
 
 
 def new_folder(spark: SparkSession, label: str) -> str:

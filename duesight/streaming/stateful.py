@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.quality import split, tag_invoices, tag_payments
-from ..schemas import CREATED, INVOICE_COLS, PAID, QUARANTINE_COLS
+from ..schemas import CREATED, INVOICE_COLS, PAID, PAYMENT_COLS, QUARANTINE_COLS
 
 
 def event_time(events: DataFrame, column: str = "event_timestamp") -> DataFrame:
@@ -57,19 +57,22 @@ def label_stream(
     )
 
 
-def validate_stream(events: DataFrame, clean_path: str, rejected_path: str, checkpoint: str) -> StreamingQuery:
-    """Validate each micro-batch and append clean invoices and rejected rows to two tables.
+def validate_stream(
+    events: DataFrame, clean_path: str, payments_path: str, rejected_path: str, checkpoint: str
+) -> StreamingQuery:
+    """Validate each micro-batch; clean invoices, clean payments and rejected rows go to a table each.
 
     The batch number is part of the folder name, so a batch that is repeated after a failure
     replaces its own output instead of adding to it.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.persist()  # read by three branches
+        batch.persist()  # read by four branches
         invoices, bad_invoices = split(tag_invoices(batch))
-        _, bad_payments = split(tag_payments(batch))
+        payments, bad_payments = split(tag_payments(batch))
         rejected = bad_invoices.select(*QUARANTINE_COLS).unionByName(bad_payments.select(*QUARANTINE_COLS))
         invoices.select(*INVOICE_COLS).write.mode("overwrite").parquet(f"{clean_path}/batch={number}")
+        payments.select(*PAYMENT_COLS).write.mode("overwrite").parquet(f"{payments_path}/batch={number}")
         rejected.write.mode("overwrite").parquet(f"{rejected_path}/batch={number}")
         batch.unpersist()
 

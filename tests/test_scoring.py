@@ -261,3 +261,16 @@ def test_segments_are_complete(spark):
     assert got == {"reliable": 1, "consistently_late": 1, "volatile": 0, "high_risk": 0}
 
 
+
+
+def test_no_prediction_is_watched(spark):
+    df = spark.createDataFrame([(None, 90_000.0), (None, None), (5.0, None)], "d double, a double")
+    assert [r[0] for r in df.select(S.action_tier(F.col("d"), F.col("a"))).collect()] == ["WATCH", "WATCH", "REMIND"]
+
+
+def test_correlation_uses_every_complete_pair(spark):
+    from duesight.operators.profile import correlations
+
+    rows = [(1.0, 1.0, None), (2.0, 3.0, 5.0), (3.0, 2.0, None), (None, 9.0, 1.0), (4.0, 4.0, 5.0)]
+    got = {(r.feature_a, r.feature_b): r["corr"] for r in correlations(spark.createDataFrame(rows, "a double, b double, c double"), ["a", "b", "c"]).collect()}
+    assert abs(got["a", "b"] - 0.8) < 1e-9 and got["a", "c"] is None and got["b", "c"] < 0

@@ -38,10 +38,13 @@ def test_stream_twins_equal_batch(spark, root, tmp_path):
     assert ids.count() == ids.distinct().count() == rows.select("_event_id").distinct().count()
 
     clean, rejected = str(tmp_path / "clean"), str(tmp_path / "rejected")
-    stateful.validate_stream(bronze.read_events(spark, folder), clean, rejected, str(tmp_path / "s2"))
+    paid = str(tmp_path / "paid")
+    stateful.validate_stream(bronze.read_events(spark, folder), clean, paid, rejected, str(tmp_path / "s2"))
     good, bad = quality.split(quality.tag_invoices(rows))
+    payments, bad_payments = quality.split(quality.tag_payments(rows))
     assert spark.read.parquet(clean).count() == good.count()
-    assert spark.read.parquet(rejected).count() == bad.count()
+    assert spark.read.parquet(paid).count() == payments.count() > 0
+    assert spark.read.parquet(rejected).count() == bad.count() + bad_payments.count()
 
 
 def test_window_counts_final_state(spark, root, tmp_path):
