@@ -133,22 +133,18 @@ def histogram(df: DataFrame, value: Column, low: float, high: float, width: floa
 def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
     """Every pair of columns with its Pearson correlation (NULL for a constant column).
 
-    Each pair uses the rows that have both values. One pass; the result is one row until it is
-    unfolded.
+    Each pair uses the rows that have both values. A row becomes its pairs, which are summed
+    before the shuffle: one row for each pair leaves a task.
     """
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
-
-    def pearson(a: str, b: str) -> Column:
-        both = F.col(a).isNotNull() & F.col(b).isNotNull()
-        spread = F.sqrt(F.var_pop(F.when(both, F.col(a))) * F.var_pop(F.when(both, F.col(b))))
-        return F.try_divide(F.covar_pop(a, b), spread)
-
-    found = df.agg(*[pearson(a, b).alias(f"_{i}") for i, (a, b) in enumerate(pairs)])
     cells = [
-        F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.col(f"_{i}").alias("corr"))
-        for i, (a, b) in enumerate(pairs)
+        F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
+        for a, b in pairs
     ]
-    return found.select(F.inline(F.array(*cells)))
+    both = F.col("x").isNotNull() & F.col("y").isNotNull()
+    x, y = F.when(both, F.col("x")), F.when(both, F.col("y"))
+    found = df.select(F.inline(F.array(*cells))).groupBy("feature_a", "feature_b")
+    return found.agg(F.try_divide(F.covar_pop(x, y), F.sqrt(F.var_pop(x) * F.var_pop(y))).alias("corr"))
 
 
 def sanity_counts(features: DataFrame) -> DataFrame:
