@@ -46,15 +46,19 @@ def byte_alphabet() -> dict[str, int]:
 
 
 class Bounded(dict):
-    """A cache that starts anew when it is full."""
+    """A cache in two generations: when the younger is full, what it holds becomes the elder, and
+    of the elder only what is asked for again lives on."""
 
     def __init__(self, compute):
         super().__init__()
-        self.compute = compute
+        self.compute, self.elder = compute, {}
 
     def __missing__(self, key):
-        value = self.compute(key)
-        if len(self) >= CACHE_ENTRIES:
+        value = self.elder.get(key)
+        if value is None:
+            value = self.compute(key)
+        if len(self) >= CACHE_ENTRIES // 2:
+            self.elder = dict(self)
             self.clear()
         self[key] = value
         return value

@@ -54,7 +54,10 @@ class WordBpe:
         self.special_pattern = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
         self.letters = {b: c for c, b in byte_alphabet().items()}
         self.pattern = regex.compile(_PATTERN)
-        self.words = Bounded(self._word)
+        self.pieces, self.words = Bounded(self._piece), Bounded(self._word)
+
+    def _piece(self, piece: str) -> list[int]:
+        return [token.id for token in self.model.tokenize("".join(map(self.letters.__getitem__, piece.encode())))]
 
     def _word(self, word: str) -> bytes:
         ids: list[int] = []
@@ -65,7 +68,7 @@ class WordBpe:
             # One character at a time, as the vocabulary's normaliser does it.
             lowered = part.lower() if part.isascii() else "".join(map(str.lower, unicodedata.normalize("NFC", part)))
             for piece in self.pattern.findall(lowered):
-                ids += [token.id for token in self.model.tokenize("".join(map(self.letters.__getitem__, piece.encode())))]
+                ids += self.pieces[piece] if len(piece) <= 64 else self._piece(piece)
         return np.array(ids, "<u4").tobytes()
 
     def encode(self, text: str) -> np.ndarray:
