@@ -33,6 +33,8 @@ from .common import documents
 
 #: Fragments a worker remembers.
 CACHE_ENTRIES = 200_000
+#: Longer ones are encoded anew.
+LONGEST_KEY = 64
 # Byte-level alphabet (printable bytes stand for themselves) and split pattern.
 _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -47,17 +49,19 @@ def byte_alphabet() -> dict[str, int]:
 
 class Bounded(dict):
     """A cache in two generations: when the younger is full, what it holds becomes the elder, and
-    of the elder only what is asked for again lives on."""
+    of the elder only what is asked for again lives on. Long keys are not remembered."""
 
-    def __init__(self, compute):
+    def __init__(self, compute, entries: int = CACHE_ENTRIES):
         super().__init__()
-        self.compute, self.elder = compute, {}
+        self.compute, self.entries, self.elder = compute, entries, {}
 
     def __missing__(self, key):
+        if len(key) > LONGEST_KEY:
+            return self.compute(key)
         value = self.elder.get(key)
         if value is None:
             value = self.compute(key)
-        if len(self) >= CACHE_ENTRIES // 2:
+        if len(self) >= self.entries // 2:
             self.elder = dict(self)
             self.clear()
         self[key] = value
@@ -109,7 +113,7 @@ class ForcedBoundaryBpe:
         codes = np.frombuffer(data, np.uint8).astype(np.uint16)
         at = (np.flatnonzero(self.cut[codes[:-1] << 8 | codes[1:]]) + 1).tolist()
         pieces = map(data.__getitem__, map(slice, [0, *at], [*at, len(data)]))
-        return [self.fragments[x] if len(x) <= 64 else self._encode_fragment(x) for x in pieces]
+        return list(map(self.fragments.__getitem__, pieces))
 
     def encode(self, text: str) -> tuple[np.ndarray, str]:
         """Ids as an array, and as decimal numbers joined by commas."""

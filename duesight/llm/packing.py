@@ -20,6 +20,7 @@ import json
 import re
 import unicodedata
 import zlib
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -37,46 +38,58 @@ from .common import documents
 
 #: Pieces that one task packs.
 GROUP_PIECES = 100_000
+#: Pieces a worker remembers (about 200 bytes each).
+PIECES = 800_000
+#: Characters of a text that are split at a time.
+STRETCH = 1 << 20
 # White space of the vocabulary's normaliser, and its split pattern.
-_BLANK = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
-_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^%s\p{L}\p{N}]+" % _SPACES
+_ASCII_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t-\r a-z0-9]+"
 
 
 class WordBpe:
-    """BPE with word ends. Merges never cross white space, so every distinct word is encoded
-    once for each worker (as far as the bounded cache reaches)."""
+    """BPE with word ends. Merges never leave a piece of the split pattern, so every distinct
+    lower-case piece is merged once for each worker (as far as the bounded cache reaches)."""
 
     def __init__(self, path: str):
         library = Tokenizer.from_file(path)
         self.model = library.model  # merges the bytes of one piece
         special = [t["content"] for t in json.loads(library.to_str())["added_tokens"]]
-        self.special = {t: library.token_to_id(t) for t in special}
+        self.special = {t: np.array([library.token_to_id(t)], "<u4").tobytes() for t in special}
         self.special_pattern = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
         self.letters = {b: c for c, b in byte_alphabet().items()}
-        self.pattern = regex.compile(_PATTERN)
-        self.pieces, self.words = Bounded(self._piece), Bounded(self._word)
-
-    def _piece(self, piece: str) -> list[int]:
-        return [token.id for token in self.model.tokenize("".join(map(self.letters.__getitem__, piece.encode())))]
-
-    def _word(self, word: str) -> bytes:
-        ids: list[int] = []
-        for part in self.special_pattern.split(word) if self.special_pattern else [word]:
-            if part in self.special:
-                ids.append(self.special[part])
-                continue
-            # One character at a time, as the vocabulary's normaliser does it.
-            lowered = part.lower() if part.isascii() else "".join(map(str.lower, unicodedata.normalize("NFC", part)))
-            for piece in self.pattern.findall(lowered):
-                ids += self.pieces[piece] if len(piece) <= 64 else self._piece(piece)
-        return np.array(ids, "<u4").tobytes()
+        self.blank = re.compile(f"[{_SPACES}]")
+        self.ascii, self.any = re.compile(_ASCII_PATTERN), regex.compile(_PATTERN)
+        self.pieces = Bounded(self._piece, entries=PIECES)
 
-    def encode(self, text: str) -> np.ndarray:
-        if text.isascii() and not any(c in text for c in "\x1c\x1d\x1e\x1f"):
-            words = text.split()
+    def _piece(self, piece: str) -> bytes:
+        data = piece if piece.isalpha() and piece.isascii() else "".join(map(self.letters.__getitem__, piece.encode()))
+        return array("I", [token.id for token in self.model.tokenize(data)]).tobytes()
+
+    def _ordinary(self, text: str) -> bytes:
+        if text.isascii():
+            found = self.ascii.findall(text.lower())
         else:
-            words = [w for w in _BLANK.split(text) if w]
-        parts = [self.words[w] if len(w) <= 64 else self._word(w) for w in words]
+            text = unicodedata.normalize("NFC", text)
+            # One character at a time, as the vocabulary's normaliser does it: only the capital
+            # sigma looks at its neighbours in str.lower.
+            text = "".join(map(str.lower, text)) if "\u03a3" in text else text.lower()
+            found = self.any.findall(text)
+        return b"".join(map(self.pieces.__getitem__, found))
+
+    def _stretches(self, text: str) -> Iterator[str]:
+        """A very long text is cut at white space, which no piece crosses."""
+        at = 0
+        while len(text) - at > STRETCH and (cut := self.blank.search(text, at + STRETCH)):
+            yield text[at : cut.start()]
+            at = cut.start()
+        yield text[at:]
+
+    def encode(self, text: str) -> np.ndarray:
+        parts = []
+        for part in self.special_pattern.split(text) if self.special_pattern else [text]:
+            parts += [self.special[part]] if part in self.special else map(self._ordinary, self._stretches(part))
         return np.frombuffer(b"".join(parts), "<u4")
 
 
