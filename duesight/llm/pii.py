@@ -5,9 +5,11 @@ entity away: every term's occurrences are counted overall and inside the windows
 entities of each kind. A term's disclosure is its pointwise mutual information with "an entity
 of this kind is near", as a share of that event's own information content (1: the term occurs
 nowhere else). Terms above the removal threshold are removed, those above the generalisation
-threshold are generalised to their first letters.
+threshold are generalised to their first letters: everywhere, also far from any entity and in
+documents without one, where they still give it away. Only places inside a base span are left to it.
 
-Statistics cover all documents and are joined by term, never broadcast.
+Statistics cover all documents and are joined by term, never broadcast. What tasks get of the
+terms is a bit filter of fixed size, which keeps terms that can't matter out of the join.
 
 Null or empty text: no spans, zero counts. Repeated rows are reported once each. An empty
 table gives an empty result. Extra columns are kept by ``find``; its own are ``pii_*``.
@@ -17,8 +19,12 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
+from bisect import bisect_left
 from dataclasses import dataclass
+from itertools import accumulate
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +42,8 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _TERM = re.compile(r"[^\W\d_]+")
+_BITS = 23  # of the filter of terms, 1 MB
+_KNOWN = 200_000  # answers of the filter that a task remembers
 _DOUBLED = [0, 2, 4, 6, 8, 1, 3, 5, 7, 9]
 
 
@@ -130,39 +138,79 @@ def disclosing_terms(stats: DataFrame, p: PiiParams = PiiParams()) -> DataFrame:
     )
 
 
+def term_filter(terms: DataFrame) -> np.ndarray:
+    """Bits by CRC-32 of ``terms.term``, as words of 32: at most 2^18 rows however many terms."""
+    slot = F.pmod(F.crc32(F.col("term").cast("binary")), F.lit(1 << _BITS))
+    bit = F.expr("shiftleft(1L, cast(pmod(slot, 32) as int))")
+    words = terms.select(slot.alias("slot")).select(F.shiftright("slot", 5).alias("w"), bit.alias("bit"))
+    rows = words.groupBy("w").agg(F.bit_or("bit").alias("bits")).toPandas()
+    held = np.zeros(1 << (_BITS - 5), np.uint32)
+    held[rows["w"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64).astype(np.uint32)
+    return held
+
+
+def places(text: str, spans: list[tuple[int, int, str]], may: set[str]) -> dict[str, list[tuple[int, int]]]:
+    """All places of the terms in ``may`` that touch no span."""
+    found: dict = {}
+    spans = sorted(spans)
+    starts, reached = [s for s, _, _ in spans], list(accumulate((e for _, e, _ in spans), max))
+    for m in _TERM.finditer(text):
+        term = m[0].lower()
+        if term in may:
+            before = bisect_left(starts, m.end())  # spans that start in front of the term's end
+            if not before or reached[before - 1] <= m.start():
+                found.setdefault(term, []).append(m.span())
+    return found
+
+
 def find(docs: DataFrame, p: PiiParams = PiiParams(), text: str = "text") -> DataFrame:
     """Add ``pii_base`` and ``pii_spans`` (span texts) and a count for each kind to every row."""
-    schema = "base string, terms array<struct<term:string,start:int,end:int>>, " + ", ".join(
+    # Written once: the totals and the terms are both read from it.
+    stats = materialize(term_statistics(docs, p, text), "pii-terms")
+    disclosing = materialize(disclosing_terms(stats, p), "pii-disclosing")
+    held = docs.sparkSession.sparkContext.broadcast(term_filter(disclosing))
+    disclosing = disclosing.withColumnRenamed("term", "pii__term")
+    schema = "base string, terms array<struct<term:string,at:array<struct<start:int,end:int>>>>, " + ", ".join(
         f"n_{k} long" for k in BASE_KINDS
     )
+    known: dict = {}
+
+    def may_disclose(word: str) -> bool:
+        answer = known.get(word)
+        if answer is None:
+            slot = zlib.crc32(word.lower().encode()) & ((1 << _BITS) - 1)
+            if len(known) >= _KNOWN:
+                known.clear()
+            answer = known[word] = bool(int(held.value[slot >> 5]) >> (slot & 31) & 1)
+        return answer
 
     @F.pandas_udf(schema)
     def scan(column: pd.Series) -> pd.DataFrame:
         rows = []
         for value in column:
             spans = base_spans(value) if value else []
-            terms = {(t, s, e) for t, s, e, _ in context_terms(value, spans, p)} if spans else ()
+            may = {w.lower() for w in set(_TERM.findall(value)) if may_disclose(w)} if value else ()
+            terms = places(value, spans, may) if may else {}
             rows.append(
                 (
                     spans_text(spans, BASE_KINDS),
-                    [{"term": t, "start": s, "end": e} for t, s, e in terms],
+                    [{"term": t, "at": [{"start": s, "end": e} for s, e in at]} for t, at in terms.items()],
                     *[sum(x[2] == k for x in spans) for k in BASE_KINDS],
                 )
             )
         return pd.DataFrame(rows, columns=["base", "terms", *[f"n_{k}" for k in BASE_KINDS]])
 
-    # Written once: the totals and the terms are both read from it.
-    stats = materialize(term_statistics(docs, p, text), "pii-terms")
-    disclosing = disclosing_terms(stats, p).withColumnRenamed("term", "pii__term")
     # Only keys and findings go through the shuffles; the text stays out.
     keys = [c for c in docs.columns if c != text]
     scanned = docs.withColumn("pii__found", scan(text)).withColumn("pii__row", F.monotonically_increasing_id())
+    # A row for each distinct term of a document, with all its places.
     found = scanned.select(*keys, "pii__row", "pii__found", F.explode_outer("pii__found.terms").alias("pii__at"))
+    found = found.withColumn("pii__found", F.col("pii__found").dropFields("terms"))
     # Rows without terms get keys of their own, so that they don't meet in one task.
     own = F.coalesce(F.col("pii__at.term"), F.concat(F.lit("#"), F.col("pii__row").cast("string")))
     joined = found.withColumn("pii__term", own).join(disclosing, "pii__term", "left")
     kind = F.when(F.col("disclosure") >= p.remove_at, "remove").otherwise("generalise")
-    place = F.struct(F.col("pii__at.start").alias("start"), F.col("pii__at.end").alias("end"), kind.alias("kind"))
+    place = F.struct(F.col("pii__at.at").alias("at"), kind.alias("kind"))
     others = [F.first(F.col(f"`{c}`")).alias(c) for c in keys]
     grouped = joined.groupBy("pii__row").agg(
         *others,
@@ -174,7 +222,7 @@ def find(docs: DataFrame, p: PiiParams = PiiParams(), text: str = "text") -> Dat
     def merged(base: pd.Series, more: pd.Series) -> pd.Series:
         return pd.Series(
             [
-                spans_text([*parse_spans(b), *[(int(x["start"]), int(x["end"]), x["kind"]) for x in m]], KINDS)
+                spans_text([*parse_spans(b), *[(int(y["start"]), int(y["end"]), x["kind"]) for x in m for y in x["at"]]], KINDS)
                 for b, m in zip(base, more)
             ],
             dtype=object,
