@@ -1,15 +1,16 @@
 """Exact top-k search by a Voronoi kNN join.
 
 Queries and data are grouped by their nearest pivot. Summaries of the groups (radius, the k
-smallest distances to the pivot) bound, for every query group, the k-th best score from below;
+smallest distances of different ids to the pivot) bound, for every query group, the k-th best score
+from below;
 the distance of a data row to its pivot bounds its score with any query of a group from above.
 A row is replicated only to query groups that it may still serve, and cells of bounded size are
 solved locally by one product.
 
 Scores are integer inner products and exact; bounds are widened by their rounding error. Vectors
-that are null, hold null or non-finite components, or differ from the longest in length take no
-part. Rows with the same id and vector count once; a query is never its own answer. Ties go to
-the smaller id.
+that are null or hold null or non-finite components take no part; a query is answered by vectors of
+its own length. Rows with the same id and vector count once and are made one first; a query is never
+its own answer. Ties go to the smaller id.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .common import table
 
 
@@ -83,9 +85,13 @@ def _bounds(pivots: np.ndarray, query_groups: list, data_groups: list, k: int) -
         if radius[i] < 0:
             continue
         # One more than k: the query itself may be among them.
-        found = [
-            cross[i, r["g"]] - radius[i] * norm[r["g"]] - (norm[i] + radius[i]) * d for r in data_groups for d in r["near"]
-        ]
+        # An id counts once, whatever its number of vectors: all those of the query's own id go.
+        best: dict = {}
+        for r in data_groups:
+            for x in r["near"]:
+                score = cross[i, r["g"]] - radius[i] * norm[r["g"]] - (norm[i] + radius[i]) * x["d"]
+                best[x["vec_id"]] = max(score, best.get(x["vec_id"], -np.inf))
+        found = list(best.values())
         if len(found) > k:
             lowest[i] = np.partition(found, len(found) - k - 1)[len(found) - k - 1]
     return lowest - 1e-6 * (1 + np.abs(np.where(np.isfinite(lowest), lowest, 0))), radius
@@ -93,28 +99,36 @@ def _bounds(pivots: np.ndarray, query_groups: list, data_groups: list, k: int) -
 
 def top_k(data: DataFrame, queries: DataFrame, p: KnnParams = KnnParams()) -> DataFrame:
     """Rows ``query_id rank vec_id score``; both inputs are ``(vec_id, v)``."""
+    # Written once: all that follows sees each row once.
+    data = materialize(data.select("vec_id", "v").dropDuplicates(), "knn-data")
+    queries = materialize(queries.select("vec_id", "v").dropDuplicates(), "knn-queries")
+    sizes = [r["n"] for r in queries.select(F.size("v").alias("n")).distinct().orderBy("n").collect()]
+    local = data.sparkSession.createDataFrame([], "query_id long, vec_id long, score long")
+    for size in sizes:
+        local = local.union(_of_one_size(*(x.filter(F.size("v") == size) for x in (data, queries)), p))
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return local.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= p.k).select("query_id", "rank", "vec_id", "score")
+
+
+def _of_one_size(data: DataFrame, queries: DataFrame, p: KnnParams) -> DataFrame:
+    """Best rows ``query_id vec_id score`` of each cell, for distinct vectors of one length."""
     spark = data.sparkSession
-    size = data.agg(F.max(F.size("v")).alias("n")).first()["n"]
-    empty = "query_id long, rank int, vec_id long, score long"
-    if size is None:
-        return spark.createDataFrame([], empty)
-    data, queries = (x.filter(F.size("v") == size) for x in (data, queries))
     # Pivots: a few rows by a hash of their values, the same in every run.
     chosen = data.select("v").orderBy(F.xxhash64("v"), "v").limit(p.pivots).collect()
+    if not chosen:
+        return spark.createDataFrame([], "query_id long, vec_id long, score long")
     pivots = np.unique(np.array([r["v"] for r in chosen]), axis=0)
     data, queries = _assigned(data, pivots), _assigned(queries, pivots)
     ranked = Window.partitionBy("g").orderBy("d", "vec_id")
-    near = data.withColumn("n", F.row_number().over(ranked)).filter(F.col("n") <= p.k + 1)
-    data_groups = near.groupBy("g").agg(F.collect_list("d").alias("near")).collect()
+    near = data.groupBy("g", "vec_id").agg(F.min("d").alias("d"))
+    near = near.withColumn("n", F.row_number().over(ranked)).filter(F.col("n") <= p.k + 1)
+    data_groups = near.groupBy("g").agg(F.collect_list(F.struct("vec_id", "d")).alias("near")).collect()
     query_groups = queries.groupBy("g").agg(F.max("d").alias("radius"), F.count(F.lit(1)).alias("n")).collect()
     lowest, radius = _bounds(pivots, query_groups, data_groups, p.k)
-    total = sum(r["n"] for r in query_groups)
     blocks = {r["g"]: -(-r["n"] // p.cell_queries) for r in query_groups}
     rows_in_all = data.count()
     slices = max(1, -(-rows_in_all // p.cell_rows))
     shared = spark.sparkContext.broadcast((pivots, lowest, radius, blocks))
-    if not total:
-        return spark.createDataFrame([], empty)
 
     @F.pandas_udf("array<struct<i:int,b:int>>")
     def serves(g: pd.Series, d: pd.Series) -> pd.Series:
@@ -144,23 +158,15 @@ def top_k(data: DataFrame, queries: DataFrame, p: KnnParams = KnnParams()) -> Da
                 scores = _product(_matrix(q["v"].iloc[lo : lo + 128]), vectors)
                 for n, row in zip(mine[lo : lo + 128], scores):
                     rest = np.flatnonzero(ids != n)
-                    # Ties keep the order of the ids; copies of one row are passed over.
-                    taken, last = [], None
-                    for at in rest[np.argsort(-row[rest], kind="stable")]:
-                        if (ids[at], row[at]) != last:
-                            last = (ids[at], row[at])
-                            taken.append(at)
-                            if len(taken) == p.k:
-                                break
+                    # Ties keep the order of the ids.
+                    taken = rest[np.argsort(-row[rest], kind="stable")][: p.k]
                     out["query_id"] += [n] * len(taken)
                     out["vec_id"] += ids[taken].tolist()
                     out["score"] += [int(v) for v in row[taken]]
         return pd.DataFrame(out).astype("int64")
 
     cells = asked.groupBy("i", "b", "s").cogroup(sent.groupBy("i", "b", "s"))
-    local = cells.applyInPandas(solve, "query_id long, vec_id long, score long").distinct()
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return local.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= p.k).select("query_id", "rank", "vec_id", "score")
+    return cells.applyInPandas(solve, "query_id long, vec_id long, score long")
 
 
 def op6_voronoi(spark, sf_dir: str) -> DataFrame:

@@ -190,6 +190,21 @@ def test_knn(spark, root):
     assert knn.top_k(v.limit(0), v.limit(0)).count() == 0
 
 
+def test_knn_of_repeated_rows_and_other_lengths(spark):
+    rng = np.random.default_rng(5)
+    few = [(i, [float(x) for x in rng.integers(-9, 9, 2)]) for i in range(10)]
+    many = [(i, [float(x) for x in rng.integers(-99, 99, 3)]) for i in range(300)]
+    own = [(7, [60.0, 60.0, float(z)]) for z in range(8)]  # one id with several vectors
+    for rows in (few * 3, [*many, *own] * 3, [*few * 3, *many * 2, (999, [1.0] * 9)]):
+        v = knn.quantised(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+        got = {tuple(r) for r in knn.top_k(v, v.filter("vec_id < 10")).collect()}
+        once, want = sorted({(i, tuple(int(256 * c) for c in x)) for i, x in rows}), set()
+        for n in range(10):
+            all_of = [(-sum(a * b for a, b in zip(q, x)), i) for m, q in once if m == n for i, x in once if i != n and len(x) == len(q)]
+            want |= {(n, rank + 1, i, -s) for rank, (s, i) in enumerate(sorted(all_of)[:5])}
+        assert got == want
+
+
 def test_language(spark, root, odd, frame):
     got = queries.QUERIES["op9_language"](spark, root).toPandas().merge(frame, on="doc_id")
     held = got[got.held_out & (got.lang_pred != "und")]
