@@ -1,11 +1,14 @@
 """Secret scan by dictionary-primed compression novelty.
 
 Base spans are found by pattern. Beyond them, a string that stands in a sensitive context is
-measured: how many bytes does zstandard need for it when it has already seen the surrounding
-text and a dictionary of the corpus's own frequent identifiers? Words, identifiers and repeated
-values cost little; keys and passwords cost nearly their whole entropy and are reported.
+measured: how many bytes does zstandard need for its first occurrence when it has already seen the
+text in front of it and a dictionary of the corpus's own frequent identifiers? Words and identifiers
+cost little; keys and passwords cost nearly their whole entropy and are reported wherever they stand
+in the text. A value that base spans cover in part is reported whole.
 
-The identifier dictionary is a top-k report over all documents: its size is a parameter.
+The identifier dictionary is a top-k report over all distinct texts: its size is a parameter. An
+identifier counts once a text, so copies of a document teach it nothing, and neither values in a
+sensitive context nor identifiers that look random are counted.
 
 Null or empty text: no spans. Repeated rows are reported once each, an empty table gives an
 empty result, extra columns are kept; own columns are ``secret_*``.
@@ -23,7 +26,9 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .common import documents, parse_spans, partial_counts, replace_spans, spans_text
+from .graph import flagged
 
 # Span kinds in order, and their patterns.
 BASE_KINDS = ["assign", "access", "hex"]
@@ -46,7 +51,7 @@ _VALUE = re.compile(r"[A-Za-z0-9+/_=$!#%.~-]+")
 class SecretParams:
     shortest: int = 10  # characters of a candidate
     reach: int = 48  # characters behind a sensitive word within which a candidate begins
-    context: int = 256  # characters of surrounding text on each side
+    context: int = 256  # characters of text in front of the candidate
     novelty: float = 0.62  # marginal bytes for each byte of the candidate
     identifiers: int = 8192  # most frequent corpus terms in the dictionary
     level: int = 3
@@ -75,7 +80,8 @@ def marginal_bytes(candidate: str, context: str, dictionary: bytes, level: int =
     return len(c.compress(around + b" " + candidate.encode())) - len(c.compress(around))
 
 
-def novel_spans(text: str, base: list[tuple[int, int, str]], dictionary: bytes, p: SecretParams) -> list[tuple[int, int, str]]:
+def candidates(text: str, p: SecretParams) -> list[tuple[int, int]]:
+    """Places of values that begin within ``reach`` behind a sensitive word, each once."""
     low = text.lower()
     if not any(w in low for w in _HINTS):
         return []
@@ -84,32 +90,72 @@ def novel_spans(text: str, base: list[tuple[int, int, str]], dictionary: bytes,
         for m in _VALUE.finditer(text, word.end(), min(len(text), word.end() + p.reach)):
             # The value may run on behind the window.
             m = _VALUE.match(text, m.start())
-            start, end = m.span()
-            if end - start < p.shortest or (start, end) in found or any(s < end and start < e for s, e, _ in base):
-                continue
-            around = text[max(0, start - p.context) : start] + text[end : end + p.context]
-            size = end - start
-            if marginal_bytes(m[0], around, dictionary, p.level) >= p.novelty * size:
-                found[start, end] = (start, end, "novel")
+            if m.end() - m.start() >= p.shortest:
+                found[m.span()] = True
+    return list(found)
+
+
+def _covered(start: int, end: int, base: list[tuple[int, int, str]]) -> bool:
+    """Whether base spans leave nothing of the place; ``base`` is in order."""
+    for s, e, _ in base:
+        if s <= start < e:
+            start = e
+    return start >= end
+
+
+def novel_spans(text: str, base: list[tuple[int, int, str]], dictionary: bytes, p: SecretParams) -> list[tuple[int, int, str]]:
+    found, judged, base = {}, {}, sorted(base)
+    for start, end in candidates(text, p):
+        value = text[start:end]
+        if value in judged or _covered(start, end, base):
+            continue
+        # The first occurrence is the one that is new to the text.
+        at = text.find(value)
+        cost = marginal_bytes(value, text[max(0, at - p.context) : at], dictionary, p.level)
+        judged[value] = cost >= p.novelty * (end - start)
+        while judged[value] and at >= 0:
+            if not _covered(at, at + len(value), base):
+                found[at, at + len(value)] = (at, at + len(value), "novel")
+            at = text.find(value, at + len(value))
     return list(found.values())
 
 
 _IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_]{2,31}(?![A-Za-z0-9_])")
 
 
+_SWITCH = re.compile(r"[A-Za-z](?=[0-9])|[0-9](?=[A-Za-z])")
+
+
+def _random(term: str, p: SecretParams) -> bool:
+    return len(term) >= p.shortest and len(_SWITCH.findall(term)) >= 3
+
+
+def distinct_texts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """Every text once. Only texts whose hash occurs more than once are shuffled."""
+    hashed = docs.select(F.col(text).alias("text"), F.xxhash64(text).alias("h")).filter("text is not null")
+    repeated = materialize(hashed.groupBy("h").count().filter("count > 1").select("h"), "text-copies")
+    split = flagged(hashed, "h", repeated, "h")
+    return split.filter("not may__hold").select("text").union(split.filter("may__hold").select("text").dropDuplicates())
+
+
 def identifier_dictionary(docs: DataFrame, p: SecretParams = SecretParams(), text: str = "text") -> bytes:
-    """Frequent identifiers of the whole corpus; the most frequent stand last, where zstandard
+    """Identifiers that stand in most distinct texts; the most frequent stand last, where zstandard
     reaches them with the shortest offsets. At most ``identifiers`` * 33 bytes."""
 
     def add(counts: dict, value: str) -> None:
-        for term in _IDENTIFIER.findall(value):
+        # Values behind sensitive words are blotted out.
+        at, kept = 0, []
+        for start, end in sorted(candidates(value, p)):
+            kept.append(value[at:start])
+            at = max(at, end)
+        for term in set(_IDENTIFIER.findall(" ".join([*kept, value[at:]]))):
             row = counts.get(term)
-            if row is None:
-                counts[term] = [1]
-            else:
+            if row is not None:
                 row[0] += 1
+            elif not _random(term, p):
+                counts[term] = [1]
 
-    counted = partial_counts(docs, text, add, "term", ["n"])
+    counted = partial_counts(distinct_texts(docs, text), "text", add, "term", ["n"])
     # Numbered hapaxes (keys look like identifiers, too) never enter: a term must recur.
     top = counted.filter("n > 2").orderBy(F.desc("n"), "term").limit(p.identifiers).collect()
     return " ".join(r["term"] for r in reversed(top)).encode()

@@ -94,6 +94,26 @@ def test_secret_spans():
     assert secret_scan.novel_spans("secret parameter configuration parameter configuration", [], known, p) == []
 
 
+def test_secrets_of_copied_documents_and_repeated_values(spark):
+    key, plain = "Zq8vT4xLm2RkW9pBn5Yc", "configuration_parameter"
+    copies = [f"the {plain} holds a credential for login: {key}"] * 50
+    near = [f"copy {i} of the {plain} with a passphrase: hGtWqLzPvXbKmRsN" for i in range(50)]
+    texts = [*copies, *near, *[f"{plain} number {i} and secret {plain}" for i in range(5)], None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    learnt = secret_scan.identifier_dictionary(docs).decode().split()
+    assert plain in learnt and key not in learnt and "hGtWqLzPvXbKmRsN" not in learnt
+    got = {r.doc_id: r.secret_spans for r in secret_scan.find(docs).collect()}
+    for i, t in enumerate(texts):
+        value = key if i < 50 else "hGtWqLzPvXbKmRsN" if i < 100 else None
+        assert got[i] == (f"novel:{t.index(value)}:{t.index(value) + len(value)}" if value else "")
+    p = secret_scan.SecretParams()
+    twice = f"credential: {key} and once more {key}, token {key}"
+    assert [twice[s:e] for s, e, _ in secret_scan.novel_spans(twice, [], b"", p)] == [key] * 3
+    partly = "password=abcDEF012345%Zq8vT4xLm2RkW9pB"  # the assignment ends in front of the percent sign
+    base = secret_scan.base_spans(partly)
+    assert secret_scan.redacted_text(partly, common.spans_text([*base, *secret_scan.novel_spans(partly, base, b"", p)], secret_scan.KINDS)) == "<secret:assign>"
+
+
 def test_bpe_equals_library(spark, odd, frame):
     path = public_tokenizers.path("byte_bpe_50k.json")
     library, own = Tokenizer.from_file(path), bpe.tokenizer(path)
