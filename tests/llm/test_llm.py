@@ -199,6 +199,22 @@ def test_lines(spark, odd):
     assert lines.without_repeats(odd).columns == odd.columns and lines.dedupe_lines(odd.limit(0)).count() == 0
 
 
+def test_lines_of_every_length_are_near(spark):
+    rng = np.random.default_rng(8)
+    words = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(500)]
+    rows = [(0, "你好世界今天天气很好我们去公园散步吧"), (1, "你好世界明天天气很好我们去公园散步吧"), (2, "page two"), (3, "page too"), (4, "other")]
+    for n in (3, 5, 8, 10, 20, 30):
+        for _ in range(20):
+            line = list(rng.choice(words, n))
+            other = [*line[:-1], line[-1][:-2] + "zz"] if n < 5 else [*line[:2], "changed", *line[3:]]
+            rows += [(len(rows), " ".join(line)), (len(rows) + 1, " ".join(other))]
+    docs = spark.createDataFrame([(1000 + i, t) for i, t in rows], "doc_id long, text string")
+    left = {r.doc_id - 1000 for r in lines.without_repeats(docs).collect()}
+    assert left & {0, 1, 2, 3, 4} == {0, 2, 4}
+    pairs = range(5, len(rows), 2)
+    assert all(i in left for i in pairs) and sum(i + 1 not in left for i in pairs) >= 0.9 * len(pairs)
+
+
 def test_knn(spark, root):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{root}/embeddings.parquet'")
