@@ -215,6 +215,21 @@ def test_lines_of_every_length_are_near(spark):
     assert all(i in left for i in pairs) and sum(i + 1 not in left for i in pairs) >= 0.9 * len(pairs)
 
 
+def test_long_lines_with_insertions_and_many_leaders(spark):
+    rng = np.random.default_rng(9)
+    words = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(3000)]
+    long = " ".join(rng.choice(words, 300))
+    at_border = " ".join(rng.choice(words, 128))
+    rows = [(1, long), (2, "four words in front of " + long), (3, at_border), (4, at_border + " another")]
+    # Lines with a long start in common and ends of their own: many meet, few are near each other.
+    start = " ".join(rng.choice(words, 12))
+    ends = [" ".join(rng.choice(words, 12)) for _ in range(30)]
+    rows += [(10 + 3 * i + j, f"{start} {end}{' x' * j}") for i, end in enumerate(ends) for j in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id for r in lines.without_repeats(docs).collect()} == {1, 3, *range(10, 100, 3)}
+    assert spark.range(1).select(lines.edit_distance("repeat('ab', 600)", "concat('xyz', repeat('ab', 600))", 0.8)).first()[0] == 3
+
+
 def test_knn(spark, root):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{root}/embeddings.parquet'")
