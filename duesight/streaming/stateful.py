@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -15,12 +15,31 @@ def event_time(events: DataFrame, column: str = "event_timestamp") -> DataFrame:
 
 
 def dedupe_stream(events: DataFrame, delay: str = "10 days") -> DataFrame:
-    """One row per event id; state for an id is dropped once the watermark passes it."""
+    """One row per event id; state for an id is dropped once the watermark passes it. Events without
+    an id are told apart by what they say, as in ``dedupe_events``."""
+    said = [F.col(f"`{c}`") for c in events.columns if not c.startswith("_")] or [F.lit(0)]
     return (
         event_time(events)
+        .withColumn("_nameless", F.when(F.col("_event_id").isNull(), F.xxhash64(*said)))
         .withWatermark("event_time", delay)
-        .dropDuplicatesWithinWatermark(["_event_id"])
-        .drop("event_time")
+        .dropDuplicatesWithinWatermark(["_event_id", "_nameless"])
+        .drop("event_time", "_nameless")
+    )
+
+
+def _in_time(longest: str) -> Column:
+    """Whether payment ``p`` lies within the time bound of invoice ``i``."""
+    since, at = F.col("i.event_time"), F.col("p.event_time")
+    return (at >= since) & (at <= since + F.expr(longest))
+
+
+def _labels(joined: DataFrame) -> DataFrame:
+    return joined.select(
+        "i.invoice_id",
+        "i.customer_id",
+        F.col("i.due_date").alias("due_date"),
+        F.col("p.clear_date").alias("clear_date"),
+        F.datediff(F.col("p.clear_date").cast("date"), F.col("i.due_date").cast("date")).alias("days_late"),
     )
 
 
@@ -30,6 +49,7 @@ def label_stream(
     """Stream-stream left join of invoices with payments that arrive up to ``longest`` later.
 
     Unpaid invoices come out, without a label, once no payment can arrive for them any more.
+    Invoices whose payment lies outside that bound come out so, too: ``late_labels`` has their labels.
     """
     left = (
         event_time(created.filter(F.col("event_type") == CREATED))
@@ -43,18 +63,17 @@ def label_stream(
         .select("invoice_id", "clear_date", "event_time")
         .alias("p")
     )
-    within = (
-        (F.col("i.invoice_id") == F.col("p.invoice_id"))
-        & (F.col("p.event_time") >= F.col("i.event_time"))
-        & (F.col("p.event_time") <= F.col("i.event_time") + F.expr(longest))
-    )
-    return left.join(right, within, "left_outer").select(
-        "i.invoice_id",
-        "i.customer_id",
-        F.col("i.due_date").alias("due_date"),
-        F.col("p.clear_date").alias("clear_date"),
-        F.datediff(F.col("p.clear_date").cast("date"), F.col("i.due_date").cast("date")).alias("days_late"),
-    )
+    same = F.col("i.invoice_id") == F.col("p.invoice_id")
+    return _labels(left.join(right, same & _in_time(longest), "left_outer"))
+
+
+def late_labels(created: DataFrame, paid: DataFrame, longest: str = "interval 400 days") -> DataFrame:
+    """Labels that ``label_stream`` leaves out: of payments dated before their invoice, more than
+    ``longest`` after it, or with a time missing on either side. Any payment may still come, so both
+    sides stay in the state and no row is dropped by a watermark."""
+    left, right = event_time(created.filter(F.col("event_type") == CREATED)), event_time(paid.filter(F.col("event_type") == PAID))
+    same = F.col("i.invoice_id") == F.col("p.invoice_id")
+    return _labels(left.alias("i").join(right.alias("p"), same & ~F.coalesce(_in_time(longest), F.lit(False))))
 
 
 def validate_stream(

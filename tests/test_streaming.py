@@ -2,6 +2,7 @@ from pyspark.sql import functions as F
 
 from duesight.operators import dedupe, quality
 from duesight.plans.model_queries import EVENT_NAMES
+from duesight.schemas import CREATED, PAID
 from duesight.sources import testdata
 from duesight.streaming import bronze, stateful
 
@@ -47,6 +48,43 @@ def test_stream_twins_equal_batch(spark, root, tmp_path):
     assert spark.read.parquet(rejected).count() == bad.count() + bad_payments.count()
 
 
+def test_labels_of_unpaid_and_out_of_bound_invoices(spark, tmp_path):
+    folder = str(tmp_path / "landing")
+
+    def drop(rows):
+        names = "_event_id string, event_type string, invoice_id string, customer_id string, due_date string, clear_date string, event_timestamp string"
+        spark.createDataFrame(rows, names).coalesce(1).write.mode("append").json(folder)
+
+    def created(i, day):
+        return (f"c{i}", CREATED, i, "k", "2020-02-01", None, f"{day}T00:00:00")
+
+    def paid(i, day):
+        return (f"p{i}", PAID, i, None, None, day, f"{day}T00:00:00")
+
+    drop([*[created(i, "2020-01-01") for i in "abcd"], paid("a", "2020-02-03"), paid("b", "2022-01-01"), paid("c", "2019-12-31")])
+    for year in (2030, 2031, 2032):
+        drop([created(f"m{year}", f"{year}-01-01"), paid(f"n{year}", f"{year}-01-01")])
+    read = lambda: bronze.read_events(spark, folder, files_per_batch=1)
+    # The first drain takes all files at once; the second finds the watermark beyond the bound.
+    bronze.drain(stateful.label_stream(bronze.read_events(spark, folder), bronze.read_events(spark, folder)), str(tmp_path / "l"), str(tmp_path / "s1"))
+    drop([created("m2050", "2050-01-01"), paid("n2050", "2050-01-01")])
+    bronze.drain(stateful.label_stream(bronze.read_events(spark, folder), bronze.read_events(spark, folder)), str(tmp_path / "l"), str(tmp_path / "s1"))
+    got = {(r.invoice_id, r.days_late) for r in spark.read.parquet(str(tmp_path / "l")).collect() if r.invoice_id in "abcd"}
+    assert got == {("a", 2), ("b", None), ("c", None), ("d", None)}
+    bronze.drain(stateful.late_labels(read(), read()), str(tmp_path / "late"), str(tmp_path / "s2"))
+    late = {(r.invoice_id, r.days_late) for r in spark.read.parquet(str(tmp_path / "late")).collect()}
+    assert late == {("b", 700), ("c", -32)}
+
+
+def test_stream_dedupe_keeps_events_without_id(spark, tmp_path):
+    folder = str(tmp_path / "landing")
+    rows = [(None, CREATED, i, "2020-01-01T00:00:00") for i in ("a", "b", "b")] + [("x", CREATED, "c", "2020-01-01T00:00:00")] * 2
+    spark.createDataFrame(rows, "_event_id string, event_type string, invoice_id string, event_timestamp string").write.json(folder)
+    stream = stateful.dedupe_stream(bronze.read_events(spark, folder))
+    bronze.drain(stream.select("invoice_id"), str(tmp_path / "ids"), str(tmp_path / "s"))
+    assert sorted(r.invoice_id for r in spark.read.parquet(str(tmp_path / "ids")).collect()) == ["a", "b", "c"]
+
+
 def test_window_counts_final_state(spark, root, tmp_path):
     events = testdata.table(spark, root, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     folder = str(tmp_path / "events")
