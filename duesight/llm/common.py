@@ -37,6 +37,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores behind it until no column of ``df`` is called so (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def partial_counts(
     docs: DataFrame, column: str, add: Callable[[dict, str], None], key: str, values: list[str]
 ) -> DataFrame:
