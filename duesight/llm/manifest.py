@@ -118,13 +118,22 @@ def children(level: DataFrame) -> DataFrame:
     return rows.select("tree", pos.alias("pos"), "child.item", "child.digest", F.concat(step, "path").alias("path"), "subroot")
 
 
-def paths(levels: list[DataFrame], above: DataFrame) -> DataFrame:
+def _nothing() -> Column:
+    return F.array().cast("array<struct<left:string,right:string>>")
+
+
+def paths(levels: list[DataFrame], above: DataFrame | None = None) -> DataFrame:
     """Leaves of trees of several nodes with their ``path``: siblings by level, from the leaf up.
-    ``above(above_tree, path, subroot)`` is what lies over each tree's root, and that root."""
+    ``above(above_tree, path, subroot)`` is what lies over each tree's root, and that root; without
+    it nothing lies over them."""
     down = None
     for level in reversed(levels):
         # Level by level, trees whose root is here join those whose parents came from above.
-        top = level.filter(F.col("n") <= FANOUT).join(above, F.col("tree").eqNullSafe(F.col("above_tree"))).drop("above_tree")
+        top = level.filter(F.col("n") <= FANOUT)
+        if above is None:
+            top = top.withColumns({"path": _nothing(), "subroot": F.lit("")})
+        else:
+            top = top.join(above, F.col("tree").eqNullSafe(F.col("above_tree"))).drop("above_tree")
         if down is not None:
             inner = level.filter(F.col("n") > FANOUT).alias("l")
             upper = down.select(F.col("tree").alias("up_tree"), F.col("pos").alias("up_pos"), "path", "subroot")
@@ -149,11 +158,9 @@ def proofs(docs: DataFrame, changed: Column | None = None) -> DataFrame:
     top = top.select(F.col("all").alias("tree"), "pos", "n", "digest", F.struct(F.col("tree").alias("source")).alias("item"))
     top_levels, root = grow(top, "manifest-top")
     root = root.select(F.col("digest").alias("root"))
-    nothing = F.array().cast("array<struct<left:string,right:string>>")
-    over = top.filter("n = 1").select("item", "digest", nothing.alias("path"))
+    over = top.filter("n = 1").select("item", "digest", _nothing().alias("path"))
     if top_levels:
-        start = docs.sparkSession.range(1).select(F.lit(0).alias("above_tree"), nothing.alias("path"), F.lit("").alias("subroot"))
-        over = over.unionByName(paths(top_levels, start).select("item", "digest", "path"))
+        over = over.unionByName(paths(top_levels).select("item", "digest", "path"))
     over = materialize(over.select(F.col("item.source").alias("above_tree"), "path", F.col("digest").alias("subroot")), "manifest-paths")
     columns = ["item", "digest", "path", "subroot"]
     out = leaves.filter("n = 1").join(over, F.col("tree").eqNullSafe(F.col("above_tree"))).select(*columns)

@@ -227,7 +227,7 @@ def test_long_lines_with_insertions_and_many_leaders(spark):
     rows += [(10 + 3 * i + j, f"{start} {end}{' x' * j}") for i, end in enumerate(ends) for j in range(3)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert {r.doc_id for r in lines.without_repeats(docs).collect()} == {1, 3, *range(10, 100, 3)}
-    assert spark.range(1).select(lines.edit_distance("repeat('ab', 600)", "concat('xyz', repeat('ab', 600))", 0.8)).first()[0] == 3
+    assert spark.range(1).select(lines.edit_distance("repeat('ab', 600)", "concat('xyz', repeat('ab', 600))", "240")).first()[0] == 3
 
 
 def test_knn(spark, root):
