@@ -72,6 +72,22 @@ def prefix_sums(df: DataFrame, order_by: list[Column], sums: dict[str, str]) ->
     return out.drop("_part", *[f"_before_{c}" for c in sources])
 
 
+def _positions(probs: list[float], interpolate: bool) -> Column:
+    """Wanted places (from 0, by ``_total`` values) as an array of ``q`` and ``at``."""
+    if interpolate:
+        position = lambda p: F.lit(p) * (F.col("_total") - 1)
+    else:
+        position = lambda p: F.greatest(
+            F.ceil(F.round(F.lit(p) * F.col("_total"), 9)) - 1, F.lit(0)
+        ).cast("double")
+    return F.array(*[F.struct(F.lit(p).alias("q"), position(p).alias("at")) for p in probs])
+
+
+def _covers(at: Column) -> Column:
+    """Is the place among the ``_n`` equal values that end in front of ``_upto``?"""
+    return (at < F.col("_upto")) & (at >= F.col("_upto") - F.col("_n"))
+
+
 def quantiles(
     df: DataFrame, value: str, probs: list[float], by: str | None = None, interpolate: bool = True
 ) -> DataFrame:
@@ -92,16 +108,8 @@ def quantiles(
     placed = running.join(span, label).withColumn(
         "_upto", F.col("_upto") - F.col("_end") + F.col("_total")
     )
-    if interpolate:
-        position = lambda p: F.lit(p) * (F.col("_total") - 1)
-    else:
-        position = lambda p: F.greatest(
-            F.ceil(F.round(F.lit(p) * F.col("_total"), 9)) - 1, F.lit(0)
-        ).cast("double")
-    wanted = F.array(*[F.struct(F.lit(p).alias("q"), position(p).alias("at")) for p in probs])
-
-    def covers(at: Column) -> Column:
-        return (at < F.col("_upto")) & (at >= F.col("_upto") - F.col("_n"))
+    wanted = _positions(probs, interpolate)
+    covers = _covers
 
     hits = placed.select(
         label,
@@ -126,22 +134,88 @@ def quantiles(
     return out if by else out.drop(label)
 
 
+_ACCURACY = 10_000  # of the sketch: it may be off by this part of all ranks
+# Half-widths of brackets, as shares of all ranks; the first that also spans a few rows is used.
+_SPANS = [5 / _ACCURACY, 50 / _ACCURACY, 500 / _ACCURACY, 1.0]
+
+
+def _brackets(values: DataFrame, label: str, probs: list[float]) -> dict:
+    """Per label disjoint intervals that hold the wanted ranks: from one pass with a sketch."""
+    around = [min(max(p + sign * w, 0.0), 1.0) for w in _SPANS for p in probs for sign in (-1, 1)]
+    seen = values.groupBy(label).agg(
+        F.count(F.lit(1)).alias("n"), F.percentile_approx("_v", around, _ACCURACY).alias("q"), F.min("_v").alias("lo"), F.max("_v").alias("hi")
+    )
+    found = {}
+    for row in seen.collect():  # one row per label
+        level = next(i for i, w in enumerate(_SPANS) if w * row.n >= 5 or w == 1.0)
+        cuts = row.q[level * 2 * len(probs) : (level + 1) * 2 * len(probs)]
+        if level == len(_SPANS) - 1:
+            cuts = [row.lo, row.hi]
+        merged: list[list[float]] = []
+        for low, high in sorted(zip(cuts[::2], cuts[1::2])):
+            if merged and low <= merged[-1][1]:
+                merged[-1][1] = max(high, merged[-1][1])
+            else:
+                merged.append([low, high])
+        found[row[label]] = merged
+    return found
+
+
+def bracketed_quantiles(df: DataFrame, value: str, probs: list[float], by: str | None = None, interpolate: bool = True) -> dict:
+    """Exact quantiles ``{label: [value, ..]}`` in two passes, without sorting the values.
+
+    The first pass brackets every wanted rank with a quantile sketch. The second counts: rows
+    between brackets by bracket, rows inside by value; only the distinct values inside, a
+    thousandth of all rows per quantile, are ordered. Where a rank is not in its bracket (the sketch
+    promises it is), the label is worked out by ``quantiles``.
+    """
+    label = by or "_all"
+    values = df.select(
+        (F.col(by) if by else F.lit(0)).alias(label), F.col(value).cast("double").alias("_v")
+    ).filter(F.col("_v").isNotNull() & ~F.isnan("_v") & (F.abs("_v") != float("inf")) & F.col(label).isNotNull())
+    brackets = _brackets(values, label, probs)
+    if not brackets:
+        return {}
+    cell = F.lit(None).cast("int")
+    for name, parts in brackets.items():  # labels are feature names
+        passed = F.lit(0)
+        for low, high in parts:
+            passed = passed + (F.col("_v") >= low).cast("int") + (F.col("_v") > high).cast("int")
+        cell = F.when(F.col(label) == F.lit(name), passed).otherwise(cell)
+    cells = values.withColumn("_cell", cell)
+    inside = F.when(F.col("_cell") % 2 == 1, F.col("_v"))
+    counts = cells.groupBy(label, "_cell", inside.alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    upto = Window.partitionBy(label).orderBy("_cell", "_v")
+    placed = counts.withColumns({"_upto": F.sum("_n").over(upto), "_total": F.sum("_n").over(Window.partitionBy(label))})
+    wanted = _positions(probs, interpolate)
+    hits = placed.select(label, "_v", F.explode(F.filter(wanted, lambda s: _covers(F.floor(s["at"])) | _covers(F.ceil(s["at"])))).alias("w"), "_n", "_upto")
+    found: dict = {}
+    for row in hits.select(label, "_v", "w.q", "w.at", _covers(F.floor("w.at")).alias("is_low"), _covers(F.ceil("w.at")).alias("is_high")).collect():
+        ends = found.setdefault(row[label], {}).setdefault(row.q, [None, None, row["at"]])
+        ends[0] = row["_v"] if row.is_low else ends[0]
+        ends[1] = row["_v"] if row.is_high else ends[1]
+    out = {}
+    for name, got in found.items():
+        if any(low is None or high is None for low, high, _ in got.values()):
+            rest = df.filter(F.col(by) == F.lit(name)) if by else df
+            out[name] = [r["value"] for r in quantiles(rest, value, probs, interpolate=interpolate).orderBy("q").collect()]
+            out[name] = [dict(zip(sorted(set(probs)), out[name]))[p] for p in probs]
+        else:
+            out[name] = [got[p][0] + (got[p][1] - got[p][0]) * (got[p][2] - int(got[p][2])) for p in probs]
+    return out
+
+
 def quantile_values(df: DataFrame, value: str, probs: list[float], interpolate: bool = True) -> list[float]:
     """Quantiles as constants, in the order of ``probs`` (empty without values). They are fitted
     scalars: worked out once, then fixed in every plan that uses them."""
-    rows = quantiles(df, value, probs, interpolate=interpolate).collect()  # len(probs) rows
-    found = {r["q"]: r["value"] for r in rows}
-    return [found[p] for p in probs] if found else []
+    return next(iter(bracketed_quantiles(df, value, probs, interpolate=interpolate).values()), [])
 
 
 def grouped_quantile_values(
     df: DataFrame, value: str, probs: list[float], by: str
 ) -> dict[str, list[float]]:
     """The same per label; ``len(labels) * len(probs)`` numbers."""
-    found: dict[str, dict[float, float]] = {}
-    for r in quantiles(df, value, probs, by=by).collect():
-        found.setdefault(r[by], {})[r["q"]] = r["value"]
-    return {name: [got[p] for p in probs] for name, got in found.items()}
+    return bracketed_quantiles(df, value, probs, by=by)
 
 
 def inner_edges(edges: list[float]) -> list[float]:

@@ -1,10 +1,14 @@
 """Customer-history and feature queries."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import features, history
 from ..schemas import HIST_COLS, RAW_INPUT_COLS
+from ..session import new_folder
 from ..sources import testdata
+from ..sources.tables import Tables
 from . import stages
 from .registry import query, tidy
 from .sqlkit import CALENDAR, HIST_OUT, asof, out
@@ -63,6 +67,42 @@ def event_asof(spark, root):
     )
 
 
+@query(
+    "event_asof_time",
+    """SELECT CAST(p.event_id AS BIGINT) AS event_id, CAST(p.user_id AS BIGINT) AS user_id, p.ts, e.ts AS seen_at,
+      CAST(e.last_error AS BIGINT) AS last_error
+    FROM (SELECT event_id, user_id, ts FROM events WHERE event_type = 'purchase') p
+    ASOF LEFT JOIN (SELECT user_id, ts, max(event_id) AS last_error FROM events WHERE event_type = 'error' GROUP BY 1, 2) e
+    ON p.user_id = e.user_id AND p.ts > e.ts""",
+)
+def event_asof_time(spark, root):
+    """To the microsecond: each purchase sees the user's last error strictly before it."""
+    rows = testdata.table(spark, root, "events").select("event_id", "user_id", "ts", "event_type")
+    errors = rows.filter("event_type = 'error'").groupBy("user_id", "ts").agg(F.max("event_id").alias("last_error"))
+    purchases = rows.filter("event_type = 'purchase'").drop("event_type")
+    return history.asof_join_ranges(purchases, errors, "user_id", "ts", "ts", ["last_error"]).select(
+        "event_id", "user_id", "ts", F.col("_hist_asof").alias("seen_at"), "last_error"
+    )
+
+
+@query(
+    "feature_store",
+    f"""SELECT l.invoice_id, {out('customer_id ' + HIST_OUT)} FROM (SELECT invoice_id, customer_id FROM ledger) l
+    LEFT JOIN (SELECT * FROM timeline QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY clear_date DESC) = 1) s
+    USING (customer_id)""",
+)
+def feature_store(spark, root):
+    """Every invoice with its customer's latest state from a table bucketed by customer: the stored
+    side is read in its buckets, only the invoices are shuffled."""
+    tables = Tables(spark, new_folder(spark, "features"))
+    name = f"customer_state_{uuid.uuid4().hex}"
+    stored = tables.feature_table(history.latest_state(stages.full_timeline(spark, root)), name, "customer_id", 16)
+    rows = testdata.outcomes(spark, root).select("invoice_id", "customer_id")
+    # Broadcasting the table would need no buckets; at the size it is meant for it is not broadcast.
+    joined = rows.join(stored.hint("merge"), "customer_id", "left")
+    return tidy(joined.select("invoice_id", "customer_id", *HIST_COLS))
+
+
 @query(
     "latest_state",
     f"""SELECT {out('customer_id ' + HIST_OUT)} FROM timeline

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..operators import dedupe, evaluation, features, history, models
+from ..operators import dedupe, evaluation, features, history, models, quantile_boost
 from ..operators.decision import order_interval
 from ..params import ModelParams
 from ..schemas import FEATURE_COLS, RAW_INPUT_COLS
@@ -135,6 +135,36 @@ def leaf_quantiles(spark, root):
     return _score_report(scored.withColumn("days_late_pred", middle))
 
 
+@query(
+    "boosted_interval",
+    """SELECT CAST(count(*) AS BIGINT) AS n, true AS covered, true AS lower_covered, true AS upper_covered, true AS reload_same
+    FROM folded WHERE fold = 'test'""",
+)
+def boosted_interval(spark, root):
+    """Boosted 10 % and 90 % quantiles on the hold-out. The check states the bands: the nominal 80 %
+    within ten points, each end within seven; a reloaded model must predict the same."""
+    _, _, train, test = _fitted(spark, root)
+    model = quantile_boost.fit_boosted_interval(train, PARAMS)
+    path = new_folder(spark, "boosted")
+    model.save(spark, path)
+    ends = ["days_late_lower", "days_late_upper"]
+    rows = test.select("invoice_id", "days_late", *FEATURE_COLS)
+    scored = order_interval(model.transform(rows).withColumn("days_late_pred", F.lit(0.0)))
+    again = quantile_boost.BoostedInterval.load(spark, path).transform(rows.select("invoice_id", *FEATURE_COLS))
+    again = order_interval(again.withColumn("days_late_pred", F.lit(0.0)))
+    both = scored.join(again.select("invoice_id", *[F.col(c).alias(f"again_{c}") for c in ends]), "invoice_id")
+    late, low, high = F.col("days_late"), F.col("days_late_lower"), F.col("days_late_upper")
+    share = lambda c: F.avg(c.cast("double"))
+    same = (low == F.col("again_days_late_lower")) & (high == F.col("again_days_late_upper"))
+    return both.agg(
+        F.count(F.lit(1)).alias("n"),
+        share((late >= low) & (late <= high)).between(0.7, 0.9).alias("covered"),
+        share(late < low).between(0.03, 0.17).alias("lower_covered"),
+        share(late > high).between(0.03, 0.17).alias("upper_covered"),
+        F.bool_and(same).alias("reload_same"),
+    )
+
+
 @query("bundle_predict")
 def bundle_predict(spark, root):
     """Fit on the training fold, score the open book from raw inputs."""

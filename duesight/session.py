@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +29,15 @@ def local_session(cores: int | str = "*", app: str = "duesight", **conf: str) ->
     return spark
 
 
+def package_for_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it (executors on other
+    machines get it with ``--py-files``, as any package)."""
+    root, known = str(Path(__file__).resolve().parents[1]), spark.sparkContext.environment
+    paths = known.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        known["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder for lineage cuts: the cluster's ``spark.checkpoint.dir``; where it is unset, a folder
     below the session's table storage, which all executors reach as well."""
