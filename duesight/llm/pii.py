@@ -12,7 +12,8 @@ Statistics cover all documents and are joined by term, never broadcast. What tas
 terms is a bit filter of fixed size, which keeps terms that can't matter out of the join.
 
 Null or empty text: no spans, zero counts. Repeated rows are reported once each. An empty
-table gives an empty result. Extra columns are kept by ``find``; its own are ``pii_*``.
+table gives an empty result. Extra columns are kept by ``find``; its own are
+``pii_*``, with underscores behind a name that an input column has.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ import hashlib
 import re
 import zlib
 from bisect import bisect_left
+from collections.abc import Callable
 from dataclasses import dataclass
 from itertools import accumulate
 
@@ -30,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import documents, parse_spans, partial_counts, replace_spans, spans_text
+from .common import documents, free_name, parse_spans, partial_counts, replace_spans, spans_text
 
 # Span kinds in order, and their patterns.
 BASE_KINDS = ["email", "ip", "card", "phone"]
@@ -92,15 +94,27 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return spans
 
 
+def untouched(spans: list[tuple[int, int, str]]) -> Callable[[int, int], bool]:
+    """Tells whether a place ``(start, end)`` touches none of the spans, by bisection."""
+    spans = sorted(spans)
+    starts, reached = [s for s, _, _ in spans], list(accumulate((e for _, e, _ in spans), max))
+
+    def free(start: int, end: int) -> bool:
+        before = bisect_left(starts, end)  # spans that start in front of the place's end
+        return not before or reached[before - 1] <= start
+
+    return free
+
+
 def context_terms(text: str, spans: list[tuple[int, int, str]], p: PiiParams) -> list[tuple[str, int, int, str]]:
     """Terms in the windows around the spans, each place once for each kind; none inside a span."""
-    found = {}
+    found, free = {}, untouched(spans)
     for start, end, kind in spans:
         lo, hi = max(0, start - p.reach), min(len(text), end + p.reach)
         before = list(_TERM.finditer(text, lo, start))[-p.window :]
         after = list(_TERM.finditer(text, end, hi))[: p.window]
         for m in [*before, *after]:
-            if not any(s < m.end() and m.start() < e for s, e, _ in spans):
+            if free(*m.span()):
                 found[m.start(), kind] = (m[0].lower(), m.start(), m.end(), kind)
     return list(found.values())
 
@@ -151,15 +165,11 @@ def term_filter(terms: DataFrame) -> np.ndarray:
 
 def places(text: str, spans: list[tuple[int, int, str]], may: set[str]) -> dict[str, list[tuple[int, int]]]:
     """All places of the terms in ``may`` that touch no span."""
-    found: dict = {}
-    spans = sorted(spans)
-    starts, reached = [s for s, _, _ in spans], list(accumulate((e for _, e, _ in spans), max))
+    found, free = {}, untouched(spans)
     for m in _TERM.finditer(text):
         term = m[0].lower()
-        if term in may:
-            before = bisect_left(starts, m.end())  # spans that start in front of the term's end
-            if not before or reached[before - 1] <= m.start():
-                found.setdefault(term, []).append(m.span())
+        if term in may and free(*m.span()):
+            found.setdefault(term, []).append(m.span())
     return found
 
 
@@ -200,22 +210,23 @@ def find(docs: DataFrame, p: PiiParams = PiiParams(), text: str = "text") -> Dat
             )
         return pd.DataFrame(rows, columns=["base", "terms", *[f"n_{k}" for k in BASE_KINDS]])
 
-    # Only keys and findings go through the shuffles; the text stays out.
+    # Only keys and findings go through the shuffles; the text stays out. The other columns travel
+    # inside a struct, so that no name of theirs meets one of these.
     keys = [c for c in docs.columns if c != text]
-    scanned = docs.withColumn("pii__found", scan(text)).withColumn("pii__row", F.monotonically_increasing_id())
+    doc = F.struct(*[F.col(f"`{c}`") for c in keys]) if keys else F.struct(F.lit(0).alias("none"))
+    scanned = docs.select(doc.alias("doc"), scan(F.col(f"`{text}`")).alias("found"), F.monotonically_increasing_id().alias("row"))
     # A row for each distinct term of a document, with all its places.
-    found = scanned.select(*keys, "pii__row", "pii__found", F.explode_outer("pii__found.terms").alias("pii__at"))
-    found = found.withColumn("pii__found", F.col("pii__found").dropFields("terms"))
+    found = scanned.select("doc", "row", "found", F.explode_outer("found.terms").alias("at"))
+    found = found.withColumn("found", F.col("found").dropFields("terms"))
     # Rows without terms get keys of their own, so that they don't meet in one task.
-    own = F.coalesce(F.col("pii__at.term"), F.concat(F.lit("#"), F.col("pii__row").cast("string")))
+    own = F.coalesce(F.col("at.term"), F.concat(F.lit("#"), F.col("row").cast("string")))
     joined = found.withColumn("pii__term", own).join(disclosing, "pii__term", "left")
     kind = F.when(F.col("disclosure") >= p.remove_at, "remove").otherwise("generalise")
-    place = F.struct(F.col("pii__at.at").alias("at"), kind.alias("kind"))
-    others = [F.first(F.col(f"`{c}`")).alias(c) for c in keys]
-    grouped = joined.groupBy("pii__row").agg(
-        *others,
-        F.first("pii__found").alias("pii__found"),
-        F.collect_list(F.when(F.col("disclosure").isNotNull(), place)).alias("pii__more"),
+    place = F.struct(F.col("at.at").alias("at"), kind.alias("kind"))
+    grouped = joined.groupBy("row").agg(
+        F.first("doc").alias("doc"),
+        F.first("found").alias("found"),
+        F.collect_list(F.when(F.col("disclosure").isNotNull(), place)).alias("more"),
     )
 
     @F.pandas_udf("string")
@@ -229,10 +240,10 @@ def find(docs: DataFrame, p: PiiParams = PiiParams(), text: str = "text") -> Dat
         )
 
     return grouped.select(
-        *[F.col(f"`{c}`") for c in keys],
-        *[F.col(f"pii__found.n_{k}").alias(f"pii_n_{k}") for k in BASE_KINDS],
-        F.col("pii__found.base").alias("pii_base"),
-        merged(F.col("pii__found.base"), F.col("pii__more")).alias("pii_spans"),
+        *[F.col(f"doc.`{c}`").alias(c) for c in keys],
+        *[F.col(f"found.n_{k}").alias(free_name(docs, f"pii_n_{k}")) for k in BASE_KINDS],
+        F.col("found.base").alias(free_name(docs, "pii_base")),
+        merged(F.col("found.base"), F.col("more")).alias(free_name(docs, "pii_spans")),
     )
 
 
@@ -254,8 +265,9 @@ def sanitise(docs: DataFrame, key: str, p: PiiParams = PiiParams(), text: str =
     apply = F.pandas_udf(
         lambda t, s: pd.Series([sanitised_text(a, b, p) for a, b in zip(t, s)], dtype=object), "string"
     )
-    spans = find(docs.select(key, text), p, text).select(key, "pii_spans")
-    return docs.join(spans, key).withColumn(text, apply(text, "pii_spans")).drop("pii_spans")
+    own, bare = free_name(docs, "pii_spans"), docs.select(key, text)
+    spans = find(bare, p, text).select(key, F.col(free_name(bare, "pii_spans")).alias(own))
+    return docs.join(spans, key).withColumn(text, apply(text, own)).drop(own)
 
 
 def op1_pii(spark, sf_dir: str) -> DataFrame:
