@@ -4,14 +4,16 @@ Base spans are found by pattern. Beyond them, a string that stands in a sensitiv
 measured: how many bytes does zstandard need for its first occurrence when it has already seen the
 text in front of it and a dictionary of the corpus's own frequent identifiers? Words and identifiers
 cost little; keys and passwords cost nearly their whole entropy and are reported wherever they stand
-in the text. A value that base spans cover in part is reported whole.
+in the text. As short rare words cost as much, a value must also change between small letters,
+capitals and digits ``switches`` times; one of small letters alone is never reported. A value that base spans cover in part is reported whole.
 
 The identifier dictionary is a top-k report over all distinct texts: its size is a parameter. An
 identifier counts once a text, so copies of a document teach it nothing, and neither values in a
 sensitive context nor identifiers that look random are counted.
 
 Null or empty text: no spans. Repeated rows are reported once each, an empty table gives an
-empty result, extra columns are kept; own columns are ``secret_*``.
+empty result, extra columns are kept; own columns are ``secret_*``, with underscores behind a name
+that an input column has.
 """
 
 from __future__ import annotations
@@ -19,6 +21,8 @@ from __future__ import annotations
 import functools
 import hashlib
 import re
+from bisect import bisect_right
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import pandas as pd
@@ -27,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import documents, parse_spans, partial_counts, replace_spans, spans_text
+from .common import documents, free_name, parse_spans, partial_counts, replace_spans, spans_text
 from .graph import flagged
 
 # Span kinds in order, and their patterns.
@@ -45,14 +49,17 @@ _SENSITIVE = re.compile(
 )
 _HINTS = ("pass", "secret", "token", "api", "credential", "key", "bearer", "authorization")
 _VALUE = re.compile(r"[A-Za-z0-9+/_=$!#%.~-]+")
+_DIGIT_SWITCH = re.compile(r"[A-Za-z](?=[0-9])|[0-9](?=[A-Za-z])")
+_SWITCH = re.compile(r"[a-z](?=[A-Z0-9])|[A-Z](?=[0-9])|[0-9](?=[A-Za-z])|[A-Z](?=[a-z])")
+_END = re.compile(r"[\n;]|[.!?](?=\s)")  # of a statement
 
 
 @dataclass(frozen=True)
 class SecretParams:
     shortest: int = 10  # characters of a candidate
-    reach: int = 48  # characters behind a sensitive word within which a candidate begins
     context: int = 256  # characters of text in front of the candidate
     novelty: float = 0.62  # marginal bytes for each byte of the candidate
+    switches: int = 3  # changes between small letters, capitals and digits; words have fewer
     identifiers: int = 8192  # most frequent corpus terms in the dictionary
     level: int = 3
 
@@ -81,40 +88,57 @@ def marginal_bytes(candidate: str, context: str, dictionary: bytes, level: int =
 
 
 def candidates(text: str, p: SecretParams) -> list[tuple[int, int]]:
-    """Places of values that begin within ``reach`` behind a sensitive word, each once."""
+    """Places of values that begin behind a sensitive word in its statement, each once; where a value
+    holds sensitive words itself, also what stands behind the last of them. One pass over the text."""
     low = text.lower()
     if not any(w in low for w in _HINTS):
         return []
-    found = {}
-    for word in _SENSITIVE.finditer(text):
-        for m in _VALUE.finditer(text, word.end(), min(len(text), word.end() + p.reach)):
-            # The value may run on behind the window.
-            m = _VALUE.match(text, m.start())
-            if m.end() - m.start() >= p.shortest:
-                found[m.span()] = True
+    words = [m.end() for m in _SENSITIVE.finditer(text)]
+    found, until = {}, 0
+    for word in words:
+        if word < until:
+            continue
+        stop = _END.search(text, word)
+        until = stop.start() if stop else len(text)
+        for m in _VALUE.finditer(text, word, until):
+            start, end = _VALUE.match(text, m.start()).span()  # it may run on behind the statement
+            until = max(until, end)
+            inside = words[bisect_right(words, end) - 1]
+            for at in (start, max(start, inside)):
+                if end - at >= p.shortest:
+                    found[at, end] = True
     return list(found)
 
 
-def _covered(start: int, end: int, base: list[tuple[int, int, str]]) -> bool:
-    """Whether base spans leave nothing of the place; ``base`` is in order."""
-    for s, e, _ in base:
-        if s <= start < e:
-            start = e
-    return start >= end
+def _covering(base: list[tuple[int, int, str]]) -> Callable[[int, int], bool]:
+    """Tells whether base spans leave nothing of a place, by bisection in their union."""
+    starts, ends = [], []
+    for start, end, _ in sorted(base):
+        if ends and start <= ends[-1]:
+            ends[-1] = max(ends[-1], end)
+        else:
+            starts.append(start)
+            ends.append(end)
+
+    def covered(start: int, end: int) -> bool:
+        at = bisect_right(starts, start) - 1
+        return at >= 0 and ends[at] >= end
+
+    return covered
 
 
 def novel_spans(text: str, base: list[tuple[int, int, str]], dictionary: bytes, p: SecretParams) -> list[tuple[int, int, str]]:
-    found, judged, base = {}, {}, sorted(base)
+    found, judged, covered = {}, {}, _covering(base)
     for start, end in candidates(text, p):
         value = text[start:end]
-        if value in judged or _covered(start, end, base):
+        if value in judged or covered(start, end):
             continue
         # The first occurrence is the one that is new to the text.
         at = text.find(value)
         cost = marginal_bytes(value, text[max(0, at - p.context) : at], dictionary, p.level)
-        judged[value] = cost >= p.novelty * (end - start)
+        judged[value] = cost >= p.novelty * (end - start) and len(_SWITCH.findall(value)) >= p.switches
         while judged[value] and at >= 0:
-            if not _covered(at, at + len(value), base):
+            if not covered(at, at + len(value)):
                 found[at, at + len(value)] = (at, at + len(value), "novel")
             at = text.find(value, at + len(value))
     return list(found.values())
@@ -123,11 +147,8 @@ def novel_spans(text: str, base: list[tuple[int, int, str]], dictionary: bytes,
 _IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_]{2,31}(?![A-Za-z0-9_])")
 
 
-_SWITCH = re.compile(r"[A-Za-z](?=[0-9])|[0-9](?=[A-Za-z])")
-
-
 def _random(term: str, p: SecretParams) -> bool:
-    return len(term) >= p.shortest and len(_SWITCH.findall(term)) >= 3
+    return len(term) >= p.shortest and len(_DIGIT_SWITCH.findall(term)) >= 3
 
 
 def distinct_texts(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -175,12 +196,13 @@ def find(docs: DataFrame, p: SecretParams = SecretParams(), text: str = "text")
             rows.append((spans_text(base, BASE_KINDS), spans_text([*base, *more], KINDS), *counts))
         return pd.DataFrame(rows, columns=["base", "spans", *[f"n_{k}" for k in BASE_KINDS]])
 
-    got = docs.withColumn("secret__", scan(text))
+    own = free_name(docs, "secret__")
+    got = docs.withColumn(own, scan(text))
     return got.select(
         *[F.col(f"`{c}`") for c in docs.columns],
-        *[F.col(f"secret__.n_{k}").alias(f"secret_n_{k}") for k in BASE_KINDS],
-        F.col("secret__.base").alias("secret_base"),
-        F.col("secret__.spans").alias("secret_spans"),
+        *[F.col(f"{own}.n_{k}").alias(free_name(docs, f"secret_n_{k}")) for k in BASE_KINDS],
+        F.col(f"{own}.base").alias(free_name(docs, "secret_base")),
+        F.col(f"{own}.spans").alias(free_name(docs, "secret_spans")),
     )
 
 
@@ -195,7 +217,7 @@ def redact(docs: DataFrame, p: SecretParams = SecretParams(), text: str = "text"
     apply = F.pandas_udf(
         lambda t, s: pd.Series([redacted_text(a, b) for a, b in zip(t, s)], dtype=object), "string"
     )
-    found = find(docs, p, text).withColumn(text, apply(text, "secret_spans"))
+    found = find(docs, p, text).withColumn(text, apply(text, free_name(docs, "secret_spans")))
     return found.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
