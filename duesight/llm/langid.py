@@ -7,11 +7,15 @@ only (method C: as many escapes as there are distinct successors). A text's lang
 whose frozen tree codes it in the fewest bits. The statistics are fixed, so a code length is a
 function of four bytes and is looked up.
 
-Counts cover all training rows; partial counts are summed inside the tasks. What is broadcast is
-bounded: at most ``grams`` byte sequences for each of at most ``languages`` languages.
+Counts cover all training rows and every language; partial counts are summed inside the tasks, and
+nothing is pruned: lower orders are exact. The model has a row for each distinct four-byte sequence of
+a language, a number that levels off with the alphabet and not with the documents. It is broadcast in
+parts of about ``part`` sequences (whole languages), each scored in a pass of its own.
 
 Null text, or text without a letter: ``und`` with score 0; the same for all texts if there is
-nothing to learn from. Ties go to the language that sorts first. Extra columns are kept.
+nothing to learn from, as in an empty table. An empty table of documents gives an empty result,
+repeated rows are answered once each. Ties go to the language that sorts first. Extra columns are
+kept; ``lang_pred`` and ``lang_score`` get underscores behind them where an input column has that name.
 """
 
 from __future__ import annotations
@@ -22,20 +26,22 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents
+from ..session import materialize
+from .common import documents, free_name
 
 _LETTER = re.compile(r"[^\W\d_]")
 _START = b"\n\n\n"
 _PAIRS = 2048
+_CELLS = 16_000_000  # of the table of ready code lengths, which saves time and changes no result
 
 
 @dataclass(frozen=True)
 class LanguageParams:
-    grams: int = 60_000  # most frequent four-byte sequences kept for a language
-    languages: int = 200  # most frequent ones are learned
+    part: int = 4_000_000  # learned sequences in one part of the model, whole languages each
 
 
 def _lowered(text: str) -> bytes:
@@ -130,10 +136,10 @@ class PpmModel:
         self.pair = np.zeros(65536, np.uint32)
         self.pair[frequent] = np.arange(1, len(frequent) + 1)
         first, second = self.pair[grams >> 16], self.pair[grams & 0xFFFF]
-        kept = (first > 0) & (second > 0)
-        grams = grams[kept]
+        kept = np.flatnonzero((first > 0) & (second > 0))[: _CELLS // len(self.trees)]
+        grams, first, second = grams[kept], first[kept], second[kept]
         self.row = np.zeros(_PAIRS * _PAIRS, np.int32)
-        self.row[first[kept] * _PAIRS + second[kept]] = np.arange(1, len(grams) + 1)
+        self.row[first * _PAIRS + second] = np.arange(1, len(grams) + 1)
         self.table = np.zeros((len(grams) + 1, len(self.trees)), np.float32)
         for i, tree in enumerate(self.trees):
             self.table[1:, i] = tree.bits(grams)
@@ -155,38 +161,69 @@ class PpmModel:
                 total += [t.bits(rest).sum() for t in self.trees]
         return total
 
-    def predict(self, text: str | None) -> tuple[str, float]:
+    def judge(self, text: str | None) -> tuple[str | None, float, float]:
+        """The nearest language, its code length, and the sum of 2^(its length - length) over all."""
         if not self.names or not text or not _LETTER.search(text):
-            return "und", 0.0
+            return None, 0.0, 0.0
         bits = self.bits(text)
         best = int(bits.argmin())
-        return self.names[best], float(1 / np.exp2(np.maximum(bits[best] - bits, -1000)).sum())
+        return self.names[best], float(bits[best]), float(np.exp2(np.maximum(bits[best] - bits, -1000)).sum())
 
+    def predict(self, text: str | None) -> tuple[str, float]:
+        name, _, total = self.judge(text)
+        return ("und", 0.0) if name is None else (name, 1 / total)
 
-def fit(docs: DataFrame, p: LanguageParams = LanguageParams(), text: str = "text", lang: str = "lang") -> PpmModel:
-    """Learn from all rows with a text and a language."""
-    from ..session import materialize
 
+def fit(docs: DataFrame, p: LanguageParams = LanguageParams(), text: str = "text", lang: str = "lang") -> list[PpmModel]:
+    """Learn every language from all rows with a text and a language. Nothing is cut off: the model
+    comes in parts of about ``part`` sequences, each of whole languages."""
     counts = materialize(gram_counts(docs, text, lang), "grams")
-    names = [r["lang"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(p.languages).collect()]
-    learned = {}
-    for name in names:  # each at most ``grams`` rows
-        top = counts.filter(F.col("lang") == name).orderBy(F.desc("n"), "gram").limit(p.grams).select("gram", "n").toPandas()
-        top = top.sort_values("gram")
-        learned[name] = top["gram"].to_numpy(np.int64), top["n"].to_numpy(np.float64)
-    return PpmModel(learned)
-
-
-def predict(docs: DataFrame, model: PpmModel, text: str = "text") -> DataFrame:
-    """Add ``lang_pred`` and ``lang_score`` (posterior under equal priors)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    @F.pandas_udf("name string, score double")
+    sizes = counts.groupBy("lang").count().orderBy("lang").collect()  # one row a language
+    parts, size = [[]], 0
+    for row in sizes:
+        if parts[-1] and size + row["count"] > p.part:
+            parts, size = [*parts, []], 0
+        parts[-1].append(row["lang"])
+        size += row["count"]
+    models = []
+    for names in parts:
+        rows = counts.filter(F.col("lang").isin(names)).orderBy("lang", "gram").toPandas()
+        models.append(PpmModel({k: (g["gram"].to_numpy(np.int64), g["n"].to_numpy(np.float64)) for k, g in rows.groupby("lang")}))
+    return models
+
+
+def _judged(shared: Broadcast, text: Column) -> Column:
+    @F.pandas_udf("name string, bits double, total double")
     def run(column: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([shared.value.predict(x) for x in column], columns=["name", "score"])
-
-    got = docs.withColumn("lang__", run(text))
-    return got.withColumns({"lang_pred": F.col("lang__.name"), "lang_score": F.col("lang__.score")}).drop("lang__")
+        return pd.DataFrame([shared.value.judge(x) for x in column], columns=["name", "bits", "total"])
+
+    return run(text)
+
+
+def predict(docs: DataFrame, models: list[PpmModel], text: str = "text") -> DataFrame:
+    """Add ``lang_pred`` and ``lang_score`` (posterior under equal priors). A further part of the model
+    is a further pass, so that a task holds one part at a time."""
+    own = free_name(docs, "lang__")
+    got = docs
+    for number, model in enumerate(models):
+        found = _judged(docs.sparkSession.sparkContext.broadcast(model), F.col(f"`{text}`"))
+        if number == 0:
+            got = got.withColumn(own, found)
+            continue
+        more = free_name(got, "lang__more")
+        got = materialize(got, "languages").withColumn(more, found)
+        a, b = F.col(own), F.col(more)
+        least = F.least(a["bits"], b["bits"])
+        far = [x["total"] * F.pow(F.lit(2.0), F.greatest(least - x["bits"], F.lit(-1000.0))) for x in (a, b)]
+        # Of equal lengths the first name, as within a part.
+        both = F.struct(F.when(a["bits"] <= b["bits"], a["name"]).otherwise(b["name"]).alias("name"), least.alias("bits"), (far[0] + far[1]).alias("total"))
+        got = got.withColumn(own, F.when(a["name"].isNull(), b).when(b["name"].isNull(), a).otherwise(both)).drop(more)
+    won = F.col(own)
+    return got.select(
+        *[F.col(f"`{c}`") for c in docs.columns],
+        F.coalesce(won["name"], F.lit("und")).alias(free_name(docs, "lang_pred")),
+        F.when(won["name"].isNull(), 0.0).otherwise(1 / won["total"]).alias(free_name(docs, "lang_score")),
+    )
 
 
 def held_out(key: str, folds: int, fold: int) -> Column:
