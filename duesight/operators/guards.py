@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..schemas import HIST_COLS, TIERS
-from ..session import scalar_row
+from ..session import materialize, scalar_row
 from .dedupe import duplicate_report
 
 
@@ -22,6 +22,35 @@ def _count(name: str, df: DataFrame) -> DataFrame:
     return _check(name, df, F.count(F.lit(1)))
 
 
+def watched(df: DataFrame, checks: dict[str, Column], label: str = "guarded") -> tuple[DataFrame, DataFrame]:
+    """Write ``df`` once and count on the way what violates ``checks`` (an aggregate for each name), so
+    that a guard needs no scan of its own. Returns the written table and the report."""
+    spark, seen = df.sparkSession, Observation()
+    counts = {n: F.coalesce(c, F.lit(0)).cast("long") for n, c in checks.items()}
+    stored = materialize(df.observe(seen, *[c.alias(n) for n, c in counts.items()]), label)
+    found = seen.get
+    if not set(counts) <= set(found):  # a plan known to be empty observes nothing
+        return stored, union([_check(n, stored, c) for n, c in checks.items()])
+    return stored, spark.createDataFrame([(n, found[n]) for n in counts], "check string, violations long")
+
+
+def history_checks() -> dict[str, Column]:
+    """History dated on or after the posting date, or after the invoice's own payment (needs
+    ``_hist_asof`` kept by the join)."""
+    return {
+        "history_before_posting": F.count_if(F.col("_hist_asof") >= F.col("posting_date")),
+        "own_outcome_unseen": F.count_if(F.col("_hist_asof") >= F.col("clear_date")),
+    }
+
+
+def scoring_checks() -> dict[str, Column]:
+    """Something to score, open rows present."""
+    return {
+        "rows_to_score": F.when(F.count(F.lit(1)) > 0, 0).otherwise(1),
+        "open_rows_present": F.when(F.count_if(F.col("is_open") == 1) > 0, 0).otherwise(1),
+    }
+
+
 def union(checks: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, checks)
 
@@ -42,7 +71,7 @@ def same_rows(before: DataFrame, after: DataFrame) -> DataFrame:
 
 def history_before_posting(asof: DataFrame) -> DataFrame:
     """No history dated on or after the posting date (needs ``_hist_asof`` kept by the join)."""
-    return _check("history_before_posting", asof, F.count_if(F.col("_hist_asof") >= F.col("posting_date")))
+    return _check("history_before_posting", asof, history_checks()["history_before_posting"])
 
 
 def cleared_after_posting(outcomes: DataFrame) -> DataFrame:
@@ -52,7 +81,7 @@ def cleared_after_posting(outcomes: DataFrame) -> DataFrame:
 
 def own_outcome_unseen(asof: DataFrame) -> DataFrame:
     """The state an invoice sees is older than its own payment."""
-    return _check("own_outcome_unseen", asof, F.count_if(F.col("_hist_asof") >= F.col("clear_date")))
+    return _check("own_outcome_unseen", asof, history_checks()["own_outcome_unseen"])
 
 
 def timeline_key(timeline: DataFrame) -> DataFrame:
@@ -87,10 +116,8 @@ def interval_order(predictions: DataFrame) -> DataFrame:
 def scoring_input(features: DataFrame, required: list[str]) -> DataFrame:
     """Something to score, open rows present, required columns present."""
     missing = [c for c in required if c not in features.columns]
-    some = _check("rows_to_score", features, F.when(F.count(F.lit(1)) > 0, 0).otherwise(1))
-    opened = _check("open_rows_present", features, F.when(F.count_if(F.col("is_open") == 1) > 0, 0).otherwise(1))
-    columns = _check("input_columns", features.limit(1), F.lit(len(missing)))
-    return union([some, opened, columns])
+    some = [_check(n, features, c) for n, c in scoring_checks().items()]
+    return union([*some, _check("input_columns", features.limit(1), F.lit(len(missing)))])
 
 
 def queue(queue_rows: DataFrame, predictions: DataFrame, capacity: int) -> DataFrame:

@@ -48,17 +48,28 @@ def stream_dedupe(spark, root):
 
 @query(
     "stream_labels",
-    "SELECT invoice_id, customer_id, clear_date, CAST(days_late AS BIGINT) AS days_late FROM ledger WHERE clear_date IS NOT NULL",
+    "SELECT invoice_id, customer_id, clear_date, CAST(days_late AS BIGINT) AS days_late FROM ledger",
 )
 def stream_labels(spark, root):
-    """Labels that arrived, from the stream-stream join (unpaid invoices are still waiting)."""
-    landing, table, state = _landing(spark, root, False), new_folder(spark, "labels"), new_folder(spark, "state")
-    stream = stateful.label_stream(
-        bronze.read_events(spark, landing), bronze.read_events(spark, landing), delay="4000 days"
-    )
-    bronze.drain(stream, table, state)
-    rows = spark.read.parquet(table).filter("clear_date is not null")
-    return tidy(rows.select("invoice_id", "customer_id", F.col("clear_date").cast("date").alias("clear_date"), "days_late"))
+    """All invoices from the stream-stream join, unpaid ones without a label: events far in the future
+    take the watermark past every bound. Labels outside the bound come from ``late_labels``."""
+    landing, table, late = _landing(spark, root, False), new_folder(spark, "labels"), new_folder(spark, "late")
+    states = new_folder(spark, "state"), new_folder(spark, "state")
+
+    def read():
+        return bronze.read_events(spark, landing)
+
+    def drain():
+        bronze.drain(stateful.label_stream(read(), read(), delay="4000 days"), table, states[0])
+
+    drain()
+    bronze.drain(stateful.late_labels(read(), read()), late, states[1])
+    for year in ("2090", "2091"):  # one moves the watermark, the next finds it there
+        stateful.closing_events(spark, f"{year}-01-01T00:00:00").write.mode("append").json(landing)
+        drain()
+    rows = spark.read.parquet(table).unionByName(spark.read.parquet(late)).filter(F.col("invoice_id") != stateful.CLOSING)
+    one = rows.groupBy("invoice_id", "customer_id").agg(F.max("clear_date").alias("clear_date"), F.max("days_late").alias("days_late"))
+    return tidy(one.withColumn("clear_date", F.col("clear_date").cast("date")))
 
 
 @query(

@@ -12,7 +12,7 @@ from . import stages, views
 from .evaluation_queries import DRIFT_SQL, LIVE, _drift_sides, metrics_sql
 from .registry import query, tidy
 from .silver_queries import TAGGED, _dq
-from .sqlkit import HIST_OUT, out
+from .sqlkit import HIST_LIST, HIST_OUT, asof, out
 
 # --- views ----------------------------------------------------------------------
 
@@ -215,16 +215,32 @@ def _asof(spark, root):
     return rows, history.asof_history(rows, timeline, fixed, keep_asof=True), fixed, timeline
 
 
-@query("guard_asof_rows", _zero("asof_row_count"))
+def _value_sql(name: str, value: str) -> str:
+    return f"SELECT '{name}' AS \"check\", CAST({value} AS BIGINT) AS violations"
+
+
+ASOF_ALL = asof("ledger", "timeline", keep=True)
+
+
+@query(
+    "guard_asof_rows",
+    _value_sql("asof_row_count", f"abs((SELECT count(*) FROM ledger) - (SELECT count(*) FROM ({ASOF_ALL}) a))"),
+)
 def guard_asof_rows(spark, root):
     rows, asof, _, _ = _asof(spark, root)
     return guards.same_rows(rows, asof)
 
 
-@query("guard_history", _zero("history_before_posting", "own_outcome_unseen"))
+@query(
+    "guard_history",
+    _count_sql("history_before_posting", f"SELECT 1 FROM ({ASOF_ALL}) a WHERE hist_asof >= posting_date")
+    + "\nUNION ALL\n"
+    + _count_sql("own_outcome_unseen", f"SELECT 1 FROM ({ASOF_ALL}) a WHERE hist_asof >= clear_date"),
+)
 def guard_history(spark, root):
-    asof = materialize(_asof(spark, root)[1].select("posting_date", "clear_date", "_hist_asof"), "asof")
-    return guards.union([guards.history_before_posting(asof), guards.own_outcome_unseen(asof)])
+    """Counted while the joined rows are written."""
+    rows = _asof(spark, root)[1].select("posting_date", "clear_date", "_hist_asof")
+    return guards.watched(rows, guards.history_checks())[1]
 
 
 @query(
@@ -243,7 +259,13 @@ def guard_timeline_key(spark, root):
     return guards.timeline_key(stages.full_timeline(spark, root))
 
 
-@query("guard_cold_start", _zero("cold_start_defaults"))
+COLD = " OR ".join(f"a.{c} IS DISTINCT FROM d.{c}" for c in HIST_LIST)
+
+
+@query(
+    "guard_cold_start",
+    _count_sql("cold_start_defaults", f"SELECT 1 FROM ({ASOF_ALL}) a, defaults d WHERE a.hist_asof IS NULL AND ({COLD})"),
+)
 def guard_cold_start(spark, root):
     f = stages.Folds(spark, root)
     one_row = features.fold_defaults(f.train)
@@ -253,7 +275,12 @@ def guard_cold_start(spark, root):
     return guards.cold_start_defaults(asof, one_row)
 
 
-@query("guard_folds", _zero("folds_disjoint", "timeline_in_train"))
+@query(
+    "guard_folds",
+    _value_sql("folds_disjoint", "(SELECT max(posting_date) FROM train) >= (SELECT min(posting_date) FROM test)")
+    + "\nUNION ALL\n"
+    + _count_sql("timeline_in_train", "SELECT 1 FROM train_timeline WHERE clear_date > (SELECT max(clear_date) FROM train)"),
+)
 def guard_folds(spark, root):
     f = stages.Folds(spark, root)
     folded = features.with_fold(stages.closed(spark, root), f.cutoff)
@@ -261,19 +288,40 @@ def guard_folds(spark, root):
     return guards.folds(folded, f.timeline(), last)
 
 
-@query("guard_intervals", _zero("interval_order"))
+@query("guard_intervals", _count_sql("interval_order", "SELECT 1 FROM open_pred WHERE days_late_lower > days_late_upper"))
 def guard_intervals(spark, root):
-    return guards.interval_order(decision.order_interval(stages.open_predictions(spark, root)))
+    """The intervals as predicted, before anything puts them in order."""
+    return guards.interval_order(stages.open_predictions(spark, root))
 
 
-@query("guard_scoring_input", _zero("rows_to_score", "open_rows_present", "input_columns"))
+@query(
+    "guard_scoring_input",
+    _value_sql("rows_to_score", "(SELECT count(*) = 0 FROM open_state)")
+    + "\nUNION ALL\n"
+    + _value_sql("open_rows_present", "(SELECT count(*) FILTER (WHERE is_open = 1) = 0 FROM open_state)")
+    + "\nUNION ALL\n"
+    + _zero("input_columns"),
+)
 def guard_scoring_input(spark, root):
     rows = features.invoice_features(stages.open_state(spark, root, with_customer=True))
-    return guards.scoring_input(materialize(rows, "input"), RAW_INPUT_COLS)
+    stored, seen = guards.watched(rows, guards.scoring_checks(), "input")
+    return seen.unionByName(guards.scoring_input(stored, RAW_INPUT_COLS).filter(F.col("check") == "input_columns"))
 
 
 @query(
-    "guard_queue", _zero("queue_count", "queue_capacity", "queue_tiers", "queue_rank_set", "queue_call_order")
+    "guard_queue",
+    "\nUNION ALL\n".join(
+        [
+            _value_sql("queue_count", "abs((SELECT count(*) FROM queue) - (SELECT count(*) FROM open_pred))"),
+            _value_sql("queue_capacity", "(SELECT greatest(count(*) FILTER (WHERE action = 'CALL') - 20, 0) FROM queue)"),
+            _count_sql("queue_tiers", "SELECT 1 FROM queue WHERE action NOT IN ('CALL', 'REMIND', 'WATCH', 'OK')"),
+            _count_sql("queue_rank_set", "SELECT 1 FROM queue WHERE rank IS NULL"),
+            _count_sql(
+                "queue_call_order",
+                "SELECT 1 FROM (SELECT expected_value > lag(expected_value) OVER (ORDER BY rank) AS bad FROM queue WHERE action = 'CALL') y WHERE bad",
+            ),
+        ]
+    ),
 )
 def guard_queue(spark, root):
     stored = stages.stored_open_predictions(spark, root)
@@ -281,11 +329,76 @@ def guard_queue(spark, root):
     return guards.queue(queue, stored, decision.DEFAULTS.daily_capacity)
 
 
-@query("guard_backtest_labels", _zero("backtest_labels"))
+@query(
+    "guard_backtest_labels",
+    _value_sql("backtest_labels", "(SELECT count(*) FILTER (WHERE has_label AND scoring_mode = 'backtest') = 0 FROM outcome_labels)"),
+)
 def guard_backtest_labels(spark, root):
     return guards.backtest_labels(stages.labels(spark, root))
 
 
+# Broken on purpose, by the invoice number: what each guard must then count.
+NUMBER = "CAST(invoice_id AS BIGINT)"
+_BROKEN_DATE = f"posting_date + CAST({NUMBER} % 3 - 1 AS INTEGER)"
+
+
+@query(
+    "guard_findings",
+    "\nUNION ALL\n".join(
+        [
+            _count_sql("silver_null_id", f"SELECT 1 FROM ledger WHERE {NUMBER} % 5 = 0"),
+            _count_sql("silver_due_after_posting", f"SELECT 1 FROM ledger WHERE {NUMBER} % 7 = 0"),
+            _count_sql("asof_row_count", f"SELECT 1 FROM ledger WHERE {NUMBER} % 7 = 0"),
+            _count_sql("history_before_posting", f"SELECT 1 FROM ledger WHERE {_BROKEN_DATE} >= posting_date"),
+            _count_sql("own_outcome_unseen", f"SELECT 1 FROM ledger WHERE {_BROKEN_DATE} >= clear_date"),
+            _value_sql("folds_disjoint", "1"),
+            _count_sql("timeline_in_train", "SELECT 1 FROM timeline WHERE clear_date > (SELECT max(clear_date) FROM train)"),
+            _count_sql("interval_order", f"SELECT 1 FROM ledger WHERE {NUMBER} % 4 = 3"),
+            _value_sql("rows_to_score", "0"),
+            _value_sql("open_rows_present", "1"),
+            _value_sql("input_columns", "1"),
+            _count_sql("queue_count", f"SELECT 1 FROM ledger WHERE {NUMBER} % 9 = 0"),
+            _value_sql("queue_capacity", f"(SELECT greatest(count(*) - 20, 0) FROM ledger WHERE {NUMBER} % 9 <> 0 AND {NUMBER} % 4 = 0)"),
+            _count_sql("queue_tiers", f"SELECT 1 FROM ledger WHERE {NUMBER} % 9 <> 0 AND {NUMBER} % 4 = 1"),
+            _count_sql("queue_rank_set", f"SELECT 1 FROM ledger WHERE {NUMBER} % 9 <> 0 AND {NUMBER} % 11 = 0"),
+            _value_sql("backtest_labels", "1"),
+        ]
+    ),
+)
+def guard_findings(spark, root):
+    """Every guard over rows that break it."""
+    rows = testdata.outcomes(spark, root)
+    n = F.col("invoice_id").cast("long")
+    broken = rows.select(
+        F.when(n % 5 != 0, F.col("invoice_id")).alias("invoice_id"),
+        "posting_date",
+        F.when(n % 7 == 0, F.date_sub("posting_date", 1)).otherwise(F.greatest("due_date", "posting_date")).alias("due_date"),
+    )
+    leaky = rows.select("posting_date", "clear_date", F.date_add("posting_date", (n % 3 - 1).cast("int")).alias("_hist_asof"))
+    f = stages.Folds(spark, root)
+    mixed = f.train.select("posting_date", F.lit("test").alias("fold")).union(f.test.select("posting_date", F.lit("train").alias("fold")))
+    wrong = rows.select((n % 4).cast("double").alias("days_late_lower"), F.lit(2.0).alias("days_late_upper"))
+    queued = rows.filter(n % 9 != 0).select(
+        F.when(n % 4 == 0, "CALL").when(n % 4 == 1, "DUNNO").otherwise("OK").alias("action"),
+        F.when(n % 11 != 0, n).alias("rank"),
+        F.lit(1.0).alias("expected_value"),
+    )
+    queue_checks = guards.queue(queued, rows, decision.DEFAULTS.daily_capacity).filter("check <> 'queue_call_order'")
+    unlabelled = rows.select(F.lit(False).alias("has_label"), F.lit("backtest").alias("scoring_mode"))
+    return guards.union(
+        [
+            guards.silver(broken).filter("check <> 'silver_unique_id'"),
+            guards.same_rows(rows, rows.filter(n % 7 != 0)),
+            guards.watched(leaky, guards.history_checks())[1],
+            guards.folds(mixed, stages.full_timeline(spark, root), f.train.agg(F.max("clear_date").alias("last_clear"))),
+            guards.interval_order(wrong),
+            guards.scoring_input(rows.filter("is_open = 0").select("is_open"), ["is_open", "no_such_column"]),
+            queue_checks,
+            guards.backtest_labels(unlabelled),
+        ]
+    )
+
+
 # --- sinks and round trips --------------------------------------------------------
 
 LEDGER_OUT = (

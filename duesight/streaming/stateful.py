@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -67,6 +67,21 @@ def label_stream(
     return _labels(left.join(right, same & _in_time(longest), "left_outer"))
 
 
+CLOSING = "closing"
+
+
+def closing_events(spark: SparkSession, at: str) -> DataFrame:
+    """An invoice and a payment of id ``CLOSING`` dated ``at``, a time beyond all others: dropped into
+    the landing folder of a stream that ends, they let unpaid invoices come out."""
+    kinds = spark.range(2).select(F.when(F.col("id") == 0, CREATED).otherwise(PAID).alias("event_type"))
+    return kinds.select(
+        F.concat(F.lit(f"{CLOSING}-{at}-"), "event_type").alias("_event_id"),
+        "event_type",
+        F.lit(CLOSING).alias("invoice_id"),
+        F.lit(at).alias("event_timestamp"),
+    )
+
+
 def late_labels(created: DataFrame, paid: DataFrame, longest: str = "interval 400 days") -> DataFrame:
     """Labels that ``label_stream`` leaves out: of payments dated before their invoice, more than
     ``longest`` after it, or with a time missing on either side. Any payment may still come, so both
