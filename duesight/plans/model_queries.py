@@ -37,6 +37,23 @@ def bronze_stream(spark, root):
     return tidy(spark.read.parquet(table).select(*EVENT_NAMES), money="invoice_amount")
 
 
+@query(
+    "stream_progress",
+    """SELECT CAST(1 AS BIGINT) AS drain, CAST(count(*) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS dropped_late FROM bronze
+    UNION ALL SELECT 2, 0, 0""",
+)
+def stream_progress(spark, root):
+    """The progress log of two drains of the same files: all events, then none."""
+    landing, table, state = _landing(spark, root), new_folder(spark, "bronze"), new_folder(spark, "state")
+    log, path = Tables(spark, new_folder(spark, "log")), "stream_progress"
+    for number in (1, 2):
+        batches = bronze.progress_table(bronze.drain(bronze.read_events(spark, landing), table, state))
+        log.append(batches.withColumns({"drain": F.lit(number).cast("long"), "at": F.current_timestamp()}), path, "at")
+    batches = log.log(path).groupBy("drain").agg(F.sum("rows").alias("n_rows"), F.sum("dropped_late").alias("dropped_late"))
+    both = spark.range(1, 3).select(F.col("id").alias("drain")).join(batches, "drain", "left")
+    return tidy(both.fillna(0))
+
+
 @query("stream_dedupe", "SELECT _event_id, event_type, customer_id FROM deduped")
 def stream_dedupe(spark, root):
     landing, table, state = _landing(spark, root), new_folder(spark, "deduped"), new_folder(spark, "state")

@@ -50,3 +50,18 @@ def progress(query: StreamingQuery) -> dict:
         "batch_id": last["batchId"] if last else None,
         "rows": sum(p["numInputRows"] for p in batches),
     }
+
+
+_PROGRESS = "run_id string, batch_id long, rows long, dropped_late long, state_rows long, watermark string"
+
+
+def progress_table(query: StreamingQuery) -> DataFrame:
+    """A row for each micro-batch of a drained query: rows read, rows that a watermark dropped as too
+    late, rows held in the state. Append it to a log to keep the history of a stream; Spark itself
+    remembers the last ``spark.sql.streaming.numRecentProgressUpdates`` batches."""
+    batches = []
+    for p in query.recentProgress:
+        states = p["stateOperators"]
+        late, held = (sum(int(s[k]) for s in states) for k in ("numRowsDroppedByWatermark", "numRowsTotal"))
+        batches.append((str(p["runId"]), int(p["batchId"]), int(p["numInputRows"]), late, held, p["eventTime"].get("watermark")))
+    return SparkSession.active().createDataFrame(batches, _PROGRESS)

@@ -132,3 +132,11 @@ def test_setup_and_catalog(spark):
     setup(spark, "duesight_test")
     assert spark.catalog.databaseExists("duesight_test")
     assert not catalog_table_exists(spark, "duesight_test.nothing")
+
+
+def test_watched_tables_count_violations_while_written(spark):
+    rows = spark.createDataFrame([(1, 2), (3, 2), (5, None)], "a int, b int")
+    stored, report = guards.watched(rows, {"above": F.count_if(F.col("a") > F.col("b")), "nulls": F.count_if(F.col("b").isNull())})
+    assert {tuple(r) for r in report.collect()} == {("above", 1), ("nulls", 1)} and stored.count() == 3
+    none = rows.filter("false").withColumn("is_open", F.lit(1))
+    assert {r.check: r.violations for r in guards.watched(none, guards.scoring_checks())[1].collect()} == {"rows_to_score": 1, "open_rows_present": 1}

@@ -96,3 +96,23 @@ def test_window_counts_final_state(spark, root, tmp_path):
         spark.read.parquet(str(tmp_path / "w")), ["window_start", "event_type"], F.col("batch").desc()
     )
     assert final.agg(F.sum("n")).first()[0] == events.count()
+
+
+def test_rows_dropped_as_too_late_are_counted(spark, tmp_path):
+    folder = str(tmp_path / "landing")
+
+    def drop(ids, day):
+        rows = [(i, CREATED, i, f"{day}T00:00:00") for i in ids]
+        spark.createDataFrame(rows, "_event_id string, event_type string, invoice_id string, event_timestamp string").coalesce(1).write.mode("append").json(folder)
+
+    def drain(delay):
+        stream = stateful.dedupe_stream(bronze.read_events(spark, folder), delay).select("invoice_id")
+        return bronze.progress_table(bronze.drain(stream, str(tmp_path / delay / "ids"), str(tmp_path / delay / "s")))
+
+    drop("abc", "2023-06-01")
+    first = {d: drain(d).collect() for d in ("10 days", "4000 days")}
+    assert all(sum(r.rows for r in rows) == 3 and sum(r.dropped_late for r in rows) == 0 for rows in first.values())
+    drop("defg", "2020-01-01")  # a backfill of years
+    late = {d: drain(d).agg({"dropped_late": "sum", "rows": "sum"}).first() for d in first}
+    assert [late[d]["sum(dropped_late)"] for d in first] == [4, 0] and all(r["sum(rows)"] == 4 for r in late.values())
+    assert [spark.read.parquet(str(tmp_path / d / "ids")).count() for d in first] == [3, 7]
