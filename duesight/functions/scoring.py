@@ -87,6 +87,12 @@ def interval_text(lower: Column, upper: Column) -> Column:
     )
 
 
+def rounded(value: Column, digits: int) -> Column:
+    """Half away from zero on the scaled value, as SQL engines round doubles. ``F.round`` rounds the
+    shortest decimal text of a double instead, which gives other half cents (-9.915, -12.254999999999999)."""
+    return F.round(value * 10.0**digits) / 10.0**digits
+
+
 def cents(amount: Column) -> Column:
     """Round an average to cents; float noise is cut first, so half cents always round up."""
     return F.round(F.round(amount, 6), 2)

@@ -12,7 +12,7 @@ from ..functions.dates import plus_days
 from ..params import DecisionParams, ScoringRun
 from ..schemas import HIST_COLS, TIERS
 from ..session import scalar_row
-from .ordering import grouped_quantile_values, rank_rows, sample_n, top_n
+from .ordering import bracketed_quantiles, rank_rows, sample_n, top_n
 
 DEFAULTS = DecisionParams()
 
@@ -315,23 +315,13 @@ SEGMENTS = {
 }
 
 
-def segment_customers(gold: DataFrame, exact: bool = True) -> DataFrame:
-    """Median split on lateness and on variability; customers without a std are left out."""
+def segment_customers(gold: DataFrame, interpolate: bool = True) -> DataFrame:
+    """Median split on lateness and on variability; customers without a std are left out. The exact
+    medians lie between the two middle values or, without ``interpolate``, are observed values."""
     known = gold.filter(F.col("std_days_late").isNotNull())
-    if exact:
-        pairs = F.array(
-            *[F.struct(F.lit(c).alias("m"), F.col(c).alias("v")) for c in ("avg_days_late", "std_days_late")]
-        )
-        medians = grouped_quantile_values(known.select(F.inline(pairs)), "v", [0.5], "m")
-        late, std = (F.lit(medians[c][0] if medians else None) for c in ("avg_days_late", "std_days_late"))
-    else:
-        row = scalar_row(
-            known.agg(
-                F.percentile_approx("avg_days_late", 0.5).alias("late"),
-                F.percentile_approx("std_days_late", 0.5).alias("std"),
-            )
-        )
-        late, std = row["late"], row["std"]
+    pairs = F.array(*[F.struct(F.lit(c).alias("m"), F.col(c).alias("v")) for c in ("avg_days_late", "std_days_late")])
+    medians = bracketed_quantiles(known.select(F.inline(pairs)), "v", [0.5], by="m", interpolate=interpolate)
+    late, std = (F.lit(medians[c][0] if medians else None) for c in ("avg_days_late", "std_days_late"))
     is_late, is_erratic = F.col("avg_days_late") > late, F.col("std_days_late") > std
 
     def pick(i: int) -> Column:
@@ -346,8 +336,8 @@ def segment_customers(gold: DataFrame, exact: bool = True) -> DataFrame:
         {
             "segment_id": pick(0),
             "segment": pick(1),
-            "x": F.round(S.clip(F.col("avg_days_late"), -25.0, 40.0), 2),
-            "y": F.round(S.clip(F.col("std_days_late"), 0.0, 45.0), 2),
+            "x": S.rounded(S.clip(F.col("avg_days_late"), -25.0, 40.0), 2),
+            "y": S.rounded(S.clip(F.col("std_days_late"), 0.0, 45.0), 2),
         }
     )
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scoring import cents, interval_text
+from ..functions.scoring import cents, interval_text, rounded
 from ..operators.decision import segment_customers, strategy_comparison
 from ..operators.dedupe import latest_per_key
 
@@ -37,14 +37,14 @@ def collection_queue(queue: DataFrame) -> DataFrame:
         "action",
         "customer_name",
         "invoice_id",
-        F.round("invoice_amount", 2).alias("amount"),
+        rounded(F.col("invoice_amount"), 2).alias("amount"),
         "due_date",
         "predicted_payment_date",
         F.ceil("days_late_pred").cast("int").alias("days_late_predicted"),
         interval_text(F.col("days_late_lower"), F.col("days_late_upper")).alias("prediction_interval"),
-        F.round("p_late", 2).alias("p_late"),
+        rounded(F.col("p_late"), 2).alias("p_late"),
         F.round("p_responds", 2).alias("p_responds"),
-        F.round("expected_value", 2).alias("expected_value"),
+        rounded(F.col("expected_value"), 2).alias("expected_value"),
     ).orderBy("rank")
 
 
@@ -62,23 +62,23 @@ def invoice_detail(queue: DataFrame, gold: DataFrame) -> DataFrame:
     """Everything known about an invoice, with its customer's behaviour."""
     behaviour = gold.select(
         "customer_id",
-        F.round("avg_days_late", 1).alias("customer_avg_days_late"),
-        F.round("late_rate", 3).alias("customer_late_rate"),
-        F.round("recent_90d_avg_days_late", 1).alias("customer_recent_90d_avg"),
+        rounded(F.col("avg_days_late"), 1).alias("customer_avg_days_late"),
+        rounded(F.col("late_rate"), 3).alias("customer_late_rate"),
+        rounded(F.col("recent_90d_avg_days_late"), 1).alias("customer_recent_90d_avg"),
     )
     return queue.join(behaviour, "customer_id", "left").select(
         "invoice_id",
         "customer_id",
         "customer_name",
-        F.round("invoice_amount", 2).alias("amount"),
+        rounded(F.col("invoice_amount"), 2).alias("amount"),
         "posting_date",
         "due_date",
         "predicted_payment_date",
-        F.round("days_late_pred", 1).alias("p50_days_late"),
-        F.round("days_late_lower", 1).alias("p10_days_late"),
-        F.round("days_late_upper", 1).alias("p90_days_late"),
-        F.round("p_late", 3).alias("probability_late"),
-        F.round("expected_value", 2).alias("expected_value"),
+        rounded(F.col("days_late_pred"), 1).alias("p50_days_late"),
+        rounded(F.col("days_late_lower"), 1).alias("p10_days_late"),
+        rounded(F.col("days_late_upper"), 1).alias("p90_days_late"),
+        rounded(F.col("p_late"), 3).alias("probability_late"),
+        rounded(F.col("expected_value"), 2).alias("expected_value"),
         "action",
         "payment_terms",
         "business_code",
@@ -92,11 +92,11 @@ def invoice_detail(queue: DataFrame, gold: DataFrame) -> DataFrame:
 
 
 def customer_segments(gold: DataFrame) -> DataFrame:
-    """Median split with approximate medians (an observed value each)."""
-    return segment_customers(gold, exact=False).select(
+    """Median split at observed values (the lower medians). ``gold`` is read three times, so pass a stored table."""
+    return segment_customers(gold, interpolate=False).select(
         "customer_id",
-        F.round("avg_days_late", 1).alias("avg_days_late"),
-        F.round("std_days_late", 1).alias("payment_variability"),
+        rounded(F.col("avg_days_late"), 1).alias("avg_days_late"),
+        rounded(F.col("std_days_late"), 1).alias("payment_variability"),
         "invoice_count",
         cents(F.col("avg_invoice_amount")).alias("avg_invoice_amount"),
         "segment",
