@@ -112,7 +112,7 @@ def value_predictions(df: DataFrame, p: DecisionParams = DEFAULTS) -> DataFrame:
         {
             "p_late": S.p_late(lower, upper),
             "p_responds": S.p_responds(std),
-            "expected_value": F.round(S.expected_value(amount, lower, upper, std, p), 2),
+            "expected_value": S.rounded(S.expected_value(amount, lower, upper, std, p), 2),
             "action": S.action_tier(F.col("days_late_pred"), amount, p),
         }
     )
@@ -169,7 +169,7 @@ def collection_queue(
     """
     capped = cap_calls(value_predictions(predictions, p), p).withColumns(
         {
-            "p_responds": F.round("p_responds", 3),
+            "p_responds": S.rounded(F.col("p_responds"), 3),
             "queue_date": queue_date if queue_date is not None else F.current_date(),
         }
     )
@@ -259,7 +259,7 @@ def v1_priority(df: DataFrame, p: DecisionParams = DEFAULTS) -> DataFrame:
         .otherwise(0.5)
     )
     benefit = p.days_accelerated * p.daily_capital_rate * F.col("invoice_amount")
-    ev = F.round(late * S.p_responds(F.col("cust_std_days_late")) * benefit - p.call_cost, 6)
+    ev = S.rounded(late * S.p_responds(F.col("cust_std_days_late")) * benefit - p.call_cost, 6)
     valued = df.withColumns({"p_late": late, "expected_value": ev}).select(
         "invoice_id",
         "customer_id",
