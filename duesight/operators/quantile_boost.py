@@ -2,13 +2,14 @@
 
 Spark ML boosts squared and absolute error only, so the trees are grown here, all quantiles at
 once. Features are cut into at most ``bins`` bins by their quantiles; the binned matrix is written
-once. Then, for every tree and level, tasks add up counts and gradients (``q`` above, ``q - 1`` below
-the prediction) by (quantile, node, feature, bin) and the shuffle sums what tasks have: at most
+once, in blocks of ``BLOCK`` rows whose columns are numpy buffers. Then, for every tree and level, tasks
+add up counts and gradients (``q`` above, ``q - 1`` below the prediction)
+by (quantile, node, feature, bin) and the shuffle sums what tasks have: at most
 ``quantiles * 2^(depth-1) * features * bins`` cells reach the driver, whatever the number of
 rows. Splits maximise the squared gradient sums. A leaf's value is the quantile of the residuals in
-it, shrunk by the learning rate. Predictions so far follow from the trees, which travel with the task;
-every ``store_every`` trees they are written beside the bins, so that lineage and work stay short
-and a lost executor repeats one task.
+it, shrunk by the learning rate. Predictions so far stand beside the bins: every tree adds itself to the
+cached blocks, and every ``store_every`` trees they are written, so that lineage and work stay short
+and a lost executor repeats few trees of its blocks.
 
 Rows without a label take no part in fitting. A missing or NaN feature counts as lower than all
 others, in fitting and scoring. Without any row the quantiles are null.
@@ -21,6 +22,8 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +35,7 @@ LABEL = "days_late"
 BINS = 32
 LEAST_ROWS = 20  # of a leaf
 STORE_EVERY = 10
+BLOCK = 1 << 15  # rows
 
 
 @dataclass(frozen=True)
@@ -51,29 +55,30 @@ class Trees:
         columns = []
         for name, edges in zip(self.columns, self.edges):
             x = frame[name].to_numpy(dtype=float, na_value=np.nan)
-            # Bin 0 is for missing values.
+                # Bin 0 is for missing values.
             columns.append(np.where(np.isnan(x), 0, 1 + np.searchsorted(np.array(edges), x, side="left")))
-        return np.stack(columns, axis=1).astype(np.int64) if columns else np.zeros((len(frame), 0), np.int64)
+        return np.stack(columns) if columns else np.zeros((0, len(frame)), np.int64)
 
     def leaf(self, bins: np.ndarray, tree: int, quantile: int, levels: int) -> np.ndarray:
-        """Node of every row after so many levels, counted from left in its level."""
-        node, rows = np.zeros(len(bins), np.int64), np.arange(len(bins))
-        for level in range(levels):
-            at = node + (1 << level) - 1
-            right = bins[rows, self.feature[tree, quantile, at]] > self.cut[tree, quantile, at]
-            node = 2 * node + right
+        """Node of every row after so many levels, counted from left in its level; ``bins`` by feature."""
+        size = bins.shape[1]
+        feature, cut, flat, rows = self.feature[tree, quantile], self.cut[tree, quantile], bins.ravel(), np.arange(size)
+        node = (bins[feature[0]] > cut[0]).astype(np.int64) if levels else np.zeros(size, np.int64)
+        for level in range(1, levels):
+            at = node + ((1 << level) - 1)
+            node = 2 * node + (flat[feature[at] * size + rows] > cut[at])
         return node
 
     def advance(self, predictions: np.ndarray, bins: np.ndarray, first: int) -> np.ndarray:
         """Add the trees from number ``first`` on."""
         for tree in range(first, len(self.value)):
             for q in range(len(self.quantiles)):
-                predictions[:, q] += self.value[tree, q, self.leaf(bins, tree, q, self.depth)]
+                predictions[q] += self.value[tree, q, self.leaf(bins, tree, q, self.depth)]
         return predictions
 
     def predict(self, frame: pd.DataFrame) -> np.ndarray:
         bins = self.binned(frame)
-        return self.advance(np.tile(np.array(self.start), (len(bins), 1)), bins, 0)
+        return self.advance(np.tile(np.array(self.start)[:, None], (1, len(frame))), bins, 0)
 
     def grown(self) -> Trees:
         """With one more tree that does not split yet."""
@@ -87,40 +92,48 @@ class Trees:
         )
 
 
-def _frames(batches: Iterator[pd.DataFrame], trees: Trees, stored: int) -> Iterator[tuple]:
-    """Bins, labels and predictions of each batch, with the trees since ``stored``."""
-    names = [f"b{i}" for i in range(len(trees.columns))]
+_BLOCKS = "n int, bins binary, y binary, p binary"
+
+
+def _packed(bins: np.ndarray, y: np.ndarray, p: np.ndarray) -> pa.RecordBatch:
+    cells = [pa.array([len(y)], pa.int32()), *[pa.array([np.ascontiguousarray(x).tobytes()], pa.binary()) for x in (bins, y, p)]]
+    return pa.RecordBatch.from_arrays(cells, ["n", "bins", "y", "p"])
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], trees: Trees) -> Iterator[tuple]:
+    """Bins by feature, labels, and predictions by quantile."""
     for batch in batches:
-        bins = batch[names].to_numpy(np.int64)
-        predictions = batch[[f"p{i}" for i in range(len(trees.quantiles))]].to_numpy(float).copy()
-        yield bins, batch["y"].to_numpy(float), predictions, stored
+        for n, *cells in zip(*[batch.column(name) for name in ("n", "bins", "y", "p")]):
+            bins, y, p = (c.as_buffer() for c in cells)
+            n = n.as_py()
+            kind = np.uint8 if bins.size == n * len(trees.columns) else np.uint16
+            yield np.frombuffer(bins, kind).reshape(-1, n), np.frombuffer(y, float), np.frombuffer(p, float).reshape(-1, n)
 
 
-def _level(rows: DataFrame, trees: Trees, stored: int, level: int, bins: int) -> np.ndarray:
+def _level(rows: DataFrame, trees: Trees, level: int, bins: int) -> np.ndarray:
     """Counts and gradients ``[2, quantile, node, feature, bin]`` of a level of the last tree."""
     last, nodes, features = len(trees.value) - 1, 1 << level, len(trees.columns)
     shape = (2, len(trees.quantiles), nodes, features, bins)
-    done = replace(trees, value=trees.value[:-1])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(shape)
-        for b, y, predictions, first in _frames(batches, trees, stored):
-            predictions = done.advance(predictions, b, first)
+        for b, y, predictions in _blocks(batches, trees):
+            cell = np.empty(len(y), np.int64)
             for q, quantile in enumerate(trees.quantiles):
-                gradient = np.where(y > predictions[:, q], quantile, quantile - 1)
-                node = trees.leaf(b, last, q, level)
+                base = (2 * trees.leaf(b, last, q, level) + (y > predictions[q])) * bins
                 for f in range(features):
-                    cell = node * bins + b[:, f]
-                    total[0, q, :, f] += np.bincount(cell, minlength=nodes * bins).reshape(nodes, bins)
-                    total[1, q, :, f] += np.bincount(cell, gradient, nodes * bins).reshape(nodes, bins)
+                    # One count for both: rows below and above their prediction.
+                    n = np.bincount(np.add(base, b[f], out=cell), minlength=2 * nodes * bins).reshape(nodes, 2, bins)
+                    total[0, q, :, f] += n[:, 0] + n[:, 1]
+                    total[1, q, :, f] += quantile * n[:, 1] + (quantile - 1) * n[:, 0]
         held = np.flatnonzero(total[0])
-        yield pd.DataFrame({"cell": held, "n": total[0].flat[held], "g": total[1].flat[held]})
+        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(total[0].flat[held]), pa.array(total[1].flat[held])], ["cell", "n", "g"])
 
-    found = rows.mapInPandas(run, "cell long, n double, g double").groupBy("cell").agg(F.sum("n").alias("n"), F.sum("g").alias("g"))
-    cells = found.toPandas()  # as many as there are cells
+    found = rows.mapInArrow(run, "cell long, n double, g double").groupBy("cell").agg(F.sum("n").alias("n"), F.sum("g").alias("g"))
+    cells = found.toArrow()  # as many as there are cells
     out = np.zeros(shape)
-    at = cells["cell"].to_numpy(np.int64)
-    out[0].flat[at], out[1].flat[at] = cells["n"].to_numpy(float), cells["g"].to_numpy(float)
+    at, n, g = (cells.column(c).to_numpy() for c in ("cell", "n", "g"))
+    out[0].flat[at], out[1].flat[at] = n, g
     return out
 
 
@@ -140,36 +153,34 @@ def _best_splits(sums: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     return np.where(gains > 1e-12, feature, 0), np.where(gains > 1e-12, cut, 1 << 30)
 
 
-def _leaf_values(rows: DataFrame, trees: Trees, stored: int) -> np.ndarray:
+def _leaf_values(rows: DataFrame, trees: Trees) -> np.ndarray:
     """The quantile of the residuals in every leaf of the last tree."""
     last = len(trees.value) - 1
-    done = replace(trees, value=trees.value[:-1])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b, y, predictions, first in _frames(batches, trees, stored):
-            predictions = done.advance(predictions, b, first)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, y, predictions in _blocks(batches, trees):
             for q in range(len(trees.quantiles)):
-                yield pd.DataFrame({"q": q, "leaf": trees.leaf(b, last, q, trees.depth), "r": y - predictions[:, q]})
+                leaf = trees.leaf(b, last, q, trees.depth)
+                cells = [pa.array(q * trees.value.shape[2] + leaf), pa.array(y - predictions[q])]
+                yield pa.RecordBatch.from_arrays(cells, ["at", "r"])
 
     cuts = F.percentile_approx("r", list(trees.quantiles), 10_000).alias("r")
-    found = rows.mapInPandas(run, "q int, leaf long, r double").groupBy("q", "leaf").agg(cuts).collect()
+    found = rows.mapInArrow(run, "at long, r double").groupBy("at").agg(cuts).collect()
     out = np.zeros(trees.value.shape[1:])
     for row in found:
-        out[row.q, row.leaf] = row.r[row.q]
+        q, leaf = divmod(row["at"], out.shape[1])
+        out[q, leaf] = row.r[q]
     return out
 
 
-def _stored(rows: DataFrame, trees: Trees, stored: int, label: str) -> DataFrame:
-    names = rows.columns
+def _advanced(rows: DataFrame, trees: Trees) -> DataFrame:
+    """The same blocks with the last tree added to their predictions."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for b, _, predictions, first in _frames(iter([batch]), trees, stored):
-                for q, column in enumerate(trees.advance(predictions, b, first).T):
-                    batch[f"p{q}"] = column
-            yield batch[names]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, y, predictions in _blocks(batches, trees):
+            yield _packed(b, y, trees.advance(predictions.copy(), b, len(trees.value) - 1))
 
-    return materialize(rows.mapInPandas(run, rows.schema), label)
+    return rows.mapInArrow(run, _BLOCKS)
 
 
 @dataclass
@@ -187,7 +198,7 @@ class BoostedInterval:
 
         @F.pandas_udf("array<double>")
         def predicted(frame: pd.DataFrame) -> pd.Series:
-            return pd.Series(list(trees.predict(frame)))
+            return pd.Series(list(trees.predict(frame).T))
 
         cells = F.struct(*[F.col(c).cast("double").alias(c) for c in trees.columns])
         out = df.withColumn("boost__q", predicted(cells))
@@ -241,26 +252,46 @@ def fit_boosted_interval(
         return BoostedInterval(None)
     edges = tuple(tuple(sorted(set(e[: len(probs)]))) for e in found[:-1])
     start = tuple(found[-1][len(probs) :])
-    empty = np.zeros((0, 2, (1 << p.depth) - 1))
-    none = np.zeros((0, 2, 1 << p.depth))
-    trees = Trees(tuple(columns), edges, quantiles, start, p.depth, empty.astype(np.int64), empty.astype(np.int64), none)
-    names = [f"b{i}" for i in range(len(columns))]
-    first = trees
+    empty = np.zeros((0, len(quantiles), (1 << p.depth) - 1), np.int64)
+    trees = Trees(tuple(columns), edges, quantiles, start, p.depth, empty, empty, np.zeros((0, len(quantiles), 1 << p.depth)))
+    first, kind = trees, np.uint8 if bins < 256 else np.uint16
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = pd.DataFrame(first.binned(batch), columns=names)
-            yield out.assign(y=batch["y"].to_numpy(), p0=start[0], p1=start[1])
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
 
-    schema = ", ".join([*[f"{n} short" for n in names], "y double", "p0 double", "p1 double"])
-    rows, stored = materialize(known.mapInPandas(cut, schema), "boost-bins"), 0
+        def block() -> pa.RecordBatch:
+            frame = pd.concat(held, ignore_index=True)
+            p0 = np.tile(np.array(start)[:, None], (1, len(frame)))
+            return _packed(first.binned(frame).astype(kind), frame["y"].to_numpy(float), p0)
+
+        for batch in batches:
+            held, size = [*held, batch.to_pandas()], size + batch.num_rows
+            if size >= BLOCK:
+                yield block()
+                held, size = [], 0
+        if size:
+            yield block()
+
+    rows, cached = materialize(known.mapInArrow(cut, _BLOCKS), "boost-bins"), []
     for number in range(p.trees):
         trees = trees.grown()
         for level in range(p.depth):
-            feature, last = _best_splits(_level(rows, trees, stored, level, bins + 1), least)
+            feature, last = _best_splits(_level(rows, trees, level, bins + 1), least)
             nodes = slice((1 << level) - 1, (2 << level) - 1)
             trees.feature[-1, :, nodes], trees.cut[-1, :, nodes] = feature, last
-        trees.value[-1] = p.learning_rate * _leaf_values(rows, trees, stored)
-        if (number + 1) % store_every == 0 and number + 1 < p.trees:
-            rows, stored = _stored(rows, trees, stored, "boost-state"), number + 1
+        trees.value[-1] = p.learning_rate * _leaf_values(rows, trees)
+        if number + 1 == p.trees:
+            break
+        rows = _advanced(rows, trees)
+        if (number + 1) % store_every == 0:
+            rows = materialize(rows, "boost-state")
+            while cached:
+                cached.pop().unpersist()
+        else:
+            rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+            cached.append(rows)
+            while len(cached) > 2:  # the one in front is read once more, to fill the last
+                cached.pop(0).unpersist()
+    while cached:
+        cached.pop().unpersist()
     return BoostedInterval(trees)
