@@ -1,6 +1,6 @@
-"""Mean and interval models on Spark ML.
+"""Mean and interval models.
 
-The point estimate is a gradient-boosted regressor. Spark ML has no quantile loss, so the
+The point estimate is a gradient-boosted regressor (``mean_boost``). Spark ML has no quantile loss, so the
 interval comes from the training outcomes that share a regression-tree leaf with a row: their
 10 % and 90 % quantiles (the idea behind quantile regression forests, Meinshausen 2006).
 """
@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor
+from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,6 +22,7 @@ from ..session import materialize
 from .decision import order_interval
 from .features import encode
 from .history import fill_history
+from .mean_boost import BoostedMean, fit_boosted_mean
 from .ordering import rank_rows
 
 LABEL = "days_late"
@@ -32,20 +33,8 @@ def assemble(df: DataFrame, columns: list[str] = FEATURE_COLS) -> DataFrame:
     return VectorAssembler(inputCols=columns, outputCol=VECTOR).transform(df)
 
 
-def fit_mean(train: DataFrame, p: ModelParams = ModelParams(), columns: list[str] = FEATURE_COLS) -> PipelineModel:
-    stages = [
-        VectorAssembler(inputCols=columns, outputCol=VECTOR),
-        GBTRegressor(
-            featuresCol=VECTOR,
-            labelCol=LABEL,
-            predictionCol="days_late_pred",
-            maxIter=p.trees,
-            maxDepth=p.depth,
-            stepSize=p.learning_rate,
-            seed=p.seed,
-        ),
-    ]
-    return Pipeline(stages=stages).fit(train)
+def fit_mean(train: DataFrame, p: ModelParams = ModelParams(), columns: list[str] = FEATURE_COLS) -> BoostedMean:
+    return fit_boosted_mean(train, p, columns)
 
 
 @dataclass
@@ -100,18 +89,18 @@ class LatenessModel:
     Callers pass raw categories; the mapping fitted in training is applied inside.
     """
 
-    mean: PipelineModel
+    mean: BoostedMean
     interval: IntervalModel
     encoders: DataFrame
     defaults: dict
 
     def predict(self, rows: DataFrame) -> DataFrame:
         coded = encode(fill_history(rows, self.defaults), self.encoders)
-        scored = self.interval.transform(self.mean.transform(coded).drop(VECTOR))
+        scored = self.interval.transform(self.mean.transform(coded))
         return order_interval(scored)
 
     def save(self, path: str) -> None:
-        self.mean.write().overwrite().save(f"{path}/mean")
+        self.mean.save(self.encoders.sparkSession, f"{path}/mean")
         self.interval.tree.write().overwrite().save(f"{path}/tree")
         self.interval.leaves.write.mode("overwrite").parquet(f"{path}/leaves")
         self.encoders.write.mode("overwrite").parquet(f"{path}/encoders")
@@ -121,7 +110,7 @@ class LatenessModel:
     @staticmethod
     def load(spark, path: str) -> LatenessModel:
         return LatenessModel(
-            PipelineModel.load(f"{path}/mean"),
+            BoostedMean.load(spark, f"{path}/mean"),
             IntervalModel(PipelineModel.load(f"{path}/tree"), spark.read.parquet(f"{path}/leaves")),
             spark.read.parquet(f"{path}/encoders"),
             spark.read.parquet(f"{path}/defaults").first().asDict(),
@@ -137,11 +126,11 @@ def fit_bundle(
     )
 
 
-def importances(model: PipelineModel, columns: list[str] = FEATURE_COLS) -> DataFrame:
+def importances(model: BoostedMean, columns: list[str] = FEATURE_COLS) -> DataFrame:
     """Impurity importance per feature with its category (13 rows)."""
     from pyspark.sql import SparkSession
 
-    values = model.stages[-1].featureImportances.toArray()
+    values = model.importances()
     rows = [(c, FEATURE_CATEGORY[c], float(values[i])) for i, c in enumerate(columns)]
     return SparkSession.active().createDataFrame(rows, "feature string, category string, importance double")
 
@@ -154,7 +143,7 @@ def importance_rollup(per_feature: DataFrame) -> DataFrame:
 
 
 def permutation_importance(
-    model: PipelineModel,
+    model: BoostedMean,
     test: DataFrame,
     repeats: int = 5,
     columns: list[str] = FEATURE_COLS,

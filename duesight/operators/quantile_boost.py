@@ -36,6 +36,7 @@ BINS = 32
 LEAST_ROWS = 20  # of a leaf
 STORE_EVERY = 10
 BLOCK = 1 << 15  # rows
+WHOLE_LEVELS = 6  # of a tree, up to 8
 
 
 @dataclass(frozen=True)
@@ -44,8 +45,8 @@ class Trees:
 
     columns: tuple[str, ...]
     edges: tuple[tuple[float, ...], ...]  # upper edges of bins, by feature
-    quantiles: tuple[float, ...]
-    start: tuple[float, ...]  # first prediction of each quantile
+    quantiles: tuple[float, ...]  # none for a mean
+    start: tuple[float, ...]  # first prediction of each quantile, or of the mean
     depth: int
     feature: np.ndarray  # [tree, quantile, inner node]
     cut: np.ndarray  # last bin that goes left
@@ -55,24 +56,38 @@ class Trees:
         columns = []
         for name, edges in zip(self.columns, self.edges):
             x = frame[name].to_numpy(dtype=float, na_value=np.nan)
-                # Bin 0 is for missing values.
+            # Bin 0 is for missing values.
             columns.append(np.where(np.isnan(x), 0, 1 + np.searchsorted(np.array(edges), x, side="left")))
-        return np.stack(columns) if columns else np.zeros((0, len(frame)), np.int64)
+        kind = np.uint8 if all(len(e) < 255 for e in self.edges) else np.uint16
+        return np.stack(columns).astype(kind) if columns else np.zeros((0, len(frame)), kind)
 
     def leaf(self, bins: np.ndarray, tree: int, quantile: int, levels: int) -> np.ndarray:
-        """Node of every row after so many levels, counted from left in its level; ``bins`` by feature."""
-        size = bins.shape[1]
-        feature, cut, flat, rows = self.feature[tree, quantile], self.cut[tree, quantile], bins.ravel(), np.arange(size)
-        node = (bins[feature[0]] > cut[0]).astype(np.int64) if levels else np.zeros(size, np.int64)
-        for level in range(1, levels):
-            at = node + ((1 << level) - 1)
-            node = 2 * node + (flat[feature[at] * size + rows] > cut[at])
+        """Node of every row after so many levels, counted from left in its level; ``bins`` by feature.
+
+        The upper levels compare whole columns for each node, which costs a fraction of looking up
+        every row's feature and cut; below, where nodes are many, rows are looked up."""
+        size, most = bins.shape[1], np.iinfo(bins.dtype).max
+        feature, cut = self.feature[tree, quantile], self.cut[tree, quantile]
+        node, held = np.zeros(size, np.uint8), [np.ones(size, bool)]
+        for level in range(min(levels, WHOLE_LEVELS)):
+            went, below = np.zeros(size, bool), []
+            for at, rows in enumerate(held, (1 << level) - 1):
+                right = rows & (bins[feature[at]] > min(int(cut[at]), most))
+                went |= right
+                below += [rows ^ right, right]
+            node, held = 2 * node + went, below
+        node = node.astype(np.int64)
+        if levels > WHOLE_LEVELS:
+            flat, rows = bins.ravel(), np.arange(size)
+            for level in range(WHOLE_LEVELS, levels):
+                at = node + ((1 << level) - 1)
+                node = 2 * node + (flat[feature[at] * size + rows] > cut[at])
         return node
 
     def advance(self, predictions: np.ndarray, bins: np.ndarray, first: int) -> np.ndarray:
         """Add the trees from number ``first`` on."""
         for tree in range(first, len(self.value)):
-            for q in range(len(self.quantiles)):
+            for q in range(len(self.start)):
                 predictions[q] += self.value[tree, q, self.leaf(bins, tree, q, self.depth)]
         return predictions
 
@@ -82,7 +97,7 @@ class Trees:
 
     def grown(self) -> Trees:
         """With one more tree that does not split yet."""
-        q, inner = len(self.quantiles), (1 << self.depth) - 1
+        q, inner = len(self.start), (1 << self.depth) - 1
         shape = (1, q, inner)
         return replace(
             self,

@@ -38,7 +38,7 @@ def _served(spark, root) -> VersionedTables:
         tables = VersionedTables(spark, new_folder(spark, "serving"))
         f = stages.Folds(spark, root, with_customer=True)
         codes = f.encoders()
-        train, test = (materialize(features.invoice_features(f.state(r)), "fold") for r in (f.train, f.test))
+        train, test = f.split(materialize(features.invoice_features(f.state(f.rows)), "folds"))
         model = models.fit_bundle(materialize(features.encode(train, codes), "matrix"), codes, f.defaults, PARAMS)
         cutoff = features.cutoff(stages.closed(spark, root)).first()["cutoff_date"]
         metrics = materialize(model_store.metrics_of(model, test), "metrics")
