@@ -21,7 +21,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import RDD, StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..params import ModelParams
@@ -54,6 +54,48 @@ class BoostedMean:
 
         return df.withColumn(PREDICTION, predicted(F.struct(*[F.col(c).cast("double").alias(c) for c in trees.columns])))
 
+    def cells(self) -> Column:
+        """The features of a row as the bytes of their bins."""
+        trees = self.trees
+
+        @F.pandas_udf("binary")
+        def binned(frame: pd.DataFrame) -> pd.Series:
+            return pd.Series([x.tobytes() for x in np.ascontiguousarray(trees.binned(frame).T)], dtype=object)
+
+        return binned(F.struct(*[F.col(c).cast("double").alias(c) for c in trees.columns]))
+
+    def swapped_errors(self, pairs: DataFrame, columns: list[str]) -> DataFrame:
+        """``repeat feature error n``: absolute errors over ``pairs(repeat, y, own, other)`` of cells with one feature
+        taken from the other row, and with none (a null feature). Only trees that ask for the feature are walked again."""
+        trees = self.trees
+        asked = [trees.feature[:, 0], trees.cut[:, 0] < 1 << 30]
+        features = [None, *columns]
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                y, repeat = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("y", "repeat"))
+                kind = np.uint8 if len(batch.column("own")[0].as_py()) == len(trees.columns) else np.uint16
+                own, other = (np.frombuffer(b"".join(batch.column(c).to_pylist()), kind).reshape(len(y), -1).T.copy() for c in ("own", "other"))
+                each = np.stack([trees.value[t, 0, trees.leaf(own, t, 0, trees.depth)] for t in range(len(trees.value))])
+                known, base = ~np.isnan(y), each.sum(axis=0) + trees.start[0]
+                for name in features:
+                    now = base
+                    if name is not None:
+                        f = trees.columns.index(name)
+                        keep, now = own[f].copy(), base.copy()
+                        own[f] = other[f]
+                        for t in np.flatnonzero(((asked[0] == f) & asked[1]).any(axis=1)):
+                            now += trees.value[t, 0, trees.leaf(own, t, 0, trees.depth)] - each[t]
+                        own[f] = keep
+                    error = np.bincount(repeat[known], np.abs(y - now)[known])
+                    cells = [pa.array(range(len(error)), pa.int32()), pa.array([name] * len(error), pa.string()), pa.array(error)]
+                    yield pa.RecordBatch.from_arrays([*cells, pa.array(np.bincount(repeat[known]))], ["repeat", "feature", "error", "n"])
+
+        sums = pairs.select("repeat", "y", "own", "other").mapInArrow(run, "repeat int, feature string, error double, n long")
+        return sums.groupBy("repeat", "feature").agg(F.sum("error").alias("error"), F.sum("n").alias("n"))
+
     def importances(self) -> np.ndarray:
         """Share of every feature in the gains."""
         return self.gains / (self.gains.sum() or 1.0)

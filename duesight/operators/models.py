@@ -152,33 +152,22 @@ def permutation_importance(
     """Mean increase of the absolute error when one feature is taken from another row.
 
     Rows are put in a random order and each is paired with the row a fixed distance away, which
-    is a permutation. All (repeat, feature) variants are scored in one pass.
+    is a permutation. Rows are sent about as the bytes of their bins, and all (repeat, feature)
+    variants of a pair are scored where it is, in one pass.
     """
-    ranked = rank_rows(
-        test.select("invoice_id", LABEL, *columns), [sample_order("invoice_id", seed), F.col("invoice_id")], "_pos"
-    )
+    rows = test.select("invoice_id", F.col(LABEL).cast("double").alias("y"), model.cells().alias("own"))
+    ranked = rank_rows(rows, [sample_order("invoice_id", seed), F.col("invoice_id")], "_pos")
     n = ranked.count()
-    numbered = ranked.withColumn("_pos", F.col("_pos") - 1)
-    original = F.struct(*columns)
-    base = numbered.select("_pos", LABEL, original.alias("own"))
+    base = ranked.select((F.col("_pos") - 1).alias("_pos"), "y", "own")
     # Each row is sent to the positions it is paired with: one equi-join for all repeats.
     shifts = [max(1, (r + 1) * n // (repeats + 1)) for r in range(repeats)]
-    partners = numbered.select(
+    partners = base.select(
         F.explode(F.array(*[F.struct(F.lit(r).alias("repeat"), F.lit(s).alias("shift")) for r, s in enumerate(shifts)])).alias("r"),
         "_pos",
-        original.alias("other"),
+        F.col("own").alias("other"),
     ).select(F.pmod(F.col("_pos") + F.col("r.shift"), F.lit(n)).alias("_pos"), "r.repeat", "other")
-    pairs = base.join(partners, "_pos")
-
-    def variant(name: str | None):
-        cells = [(F.col(f"other.{c}") if c == name else F.col(f"own.{c}")).alias(c) for c in columns]
-        return F.struct(F.lit(name or "_none").alias("feature"), *cells)
-
-    variants = pairs.select("repeat", LABEL, F.inline(F.array(*[variant(c) for c in [None, *columns]])))
-    scored = model.transform(variants)
-    errors = scored.groupBy("repeat", "feature").agg(
-        F.avg(F.abs(F.col(LABEL) - F.col("days_late_pred"))).alias("mae")
-    )
+    errors = model.swapped_errors(base.join(partners, "_pos"), columns).filter("n > 0")
+    errors = errors.select("repeat", F.coalesce("feature", F.lit("_none")).alias("feature"), (F.col("error") / F.col("n")).alias("mae"))
     # repeats * (features + 1) rows from here on.
     per_repeat = Window.partitionBy("repeat")
     base_mae = F.max(F.when(F.col("feature") == "_none", F.col("mae"))).over(per_repeat)

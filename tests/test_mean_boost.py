@@ -1,4 +1,7 @@
+import hashlib
+
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
@@ -56,3 +59,22 @@ def test_missing_values_unlabelled_and_no_rows(spark, rows, tmp_path):
         kept.save(spark, f"{tmp_path}/{number}")
         again = mean_boost.BoostedMean.load(spark, f"{tmp_path}/{number}").transform(odd)
         assert kept.transform(odd).exceptAll(again).count() == 0
+
+
+def test_permuted_errors_are_those_of_whole_predictions(spark, rows):
+    """Missing features take part, which Spark ML's assembler raised on."""
+    odd = rows.withColumns({"x": F.when(F.col("id") % 5 > 0, F.col("x")), "w": F.lit(1.0), "days_late": F.when(F.col("id") % 7 > 0, F.col("days_late"))})
+    odd = odd.withColumn("invoice_id", F.col("id").cast("string"))
+    model = models.fit_mean(odd, SMALL, ["x", "z", "w"])
+    got = {r.feature: (r.mae_increase, r.std) for r in models.permutation_importance(model, odd, 3, ["x", "z", "w"]).collect()}
+    order = sorted(odd.toPandas().to_dict("records"), key=lambda r: (hashlib.md5(f"{r['id']}:42".encode()).hexdigest(), r["invoice_id"]))
+    frame = pd.DataFrame(order)
+
+    def mae(f):
+        return (f.days_late - model.trees.predict(f)[0]).abs().mean()
+
+    for name in ("x", "z", "w"):
+        shifts = [(r + 1) * len(frame) // 4 for r in range(3)]
+        more = [mae(frame.assign(**{name: np.roll(frame[name].to_numpy(), s)})) - mae(frame) for s in shifts]
+        assert np.allclose(got[name], (np.mean(more), np.std(more, ddof=1)), atol=1e-9)
+    assert got["w"] == (0.0, 0.0) and got["x"][0] > 1
