@@ -116,3 +116,26 @@ def test_rows_dropped_as_too_late_are_counted(spark, tmp_path):
     late = {d: drain(d).agg({"dropped_late": "sum", "rows": "sum"}).first() for d in first}
     assert [late[d]["sum(dropped_late)"] for d in first] == [4, 0] and all(r["sum(rows)"] == 4 for r in late.values())
     assert [spark.read.parquet(str(tmp_path / d / "ids")).count() for d in first] == [3, 7]
+
+
+def test_types_in_folders_and_one_closing_drop_let_unpaid_out(spark, tmp_path):
+    """Each side reads the files of its own type, and the batch behind the closing events finds their watermark."""
+    folder, table, state = (str(tmp_path / n) for n in ("landing", "labels", "state"))
+    cells = [("c1", CREATED, "i1", "2020-01-01"), ("c2", CREATED, "i2", "2020-01-02"), ("p1", PAID, "i1", "2020-01-20")]
+    events = spark.createDataFrame(cells, "_event_id string, event_type string, invoice_id string, at string")
+    at = F.concat("at", F.lit("T00:00:00")).alias("event_timestamp")
+
+    def drop(rows):
+        rows.write.mode("append").partitionBy("event_type").json(folder)
+
+    def drain():
+        labels = stateful.label_stream(bronze.read_events(spark, folder), bronze.read_events(spark, folder))
+        return bronze.drain(labels, table, state)
+
+    drop(events.select("_event_id", "event_type", "invoice_id", at))
+    query = drain()
+    assert not stateful.past(query, "2070-01-01T00:00:00")
+    assert sum(s["numInputRows"] for s in query.recentProgress) == 3  # not six: no event is read by both sides
+    drop(stateful.closing_events(spark, "2090-01-01T00:00:00"))
+    assert stateful.past(drain(), "2070-01-01T00:00:00")
+    assert {r.invoice_id for r in spark.read.parquet(table).collect()} >= {"i1", "i2"}
