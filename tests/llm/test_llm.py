@@ -422,3 +422,25 @@ def test_pipeline(spark, root):
 def test_line_dedup_runs_no_python(spark, root):
     plan = lines.occurrences(common.documents(spark, root))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_crowded_blocks_need_few_rounds(spark, monkeypatch):
+    rng = np.random.default_rng(10)
+    words = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(3000)]
+    start = " ".join(rng.choice(words, 12))
+    # Forty lines that meet by their start alone, and a group of forty that are near.
+    rows = [(i, f"{start} {' '.join(rng.choice(words, 12))}") for i in range(40)]
+    base = list(rng.choice(words, 30))
+    rows += [(100 + i, " ".join([*base[: i % 30], "changed", *base[i % 30 + 1 :], "x" * (i // 30)])) for i in range(40)]
+    made, write = [], lines.materialize
+    monkeypatch.setattr(lines, "materialize", lambda df, label="stage": made.append(label) or write(df, label))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id for r in lines.without_repeats(docs).collect()} == {*range(40), 100}
+    assert made.count("line-met") <= 5
+
+
+def test_bounds_of_edit_distances(spark):
+    rows = [("one two three", "one too three"), ("a b c d", "b c d"), ("", "x y"), ("same line", "same line"), ("ab", "ab cd ef")]
+    pairs = spark.createDataFrame(rows, "x string, y string")
+    got = pairs.select(lines.by_words("x", "y").alias("most"), lines.edit_distance("x", "y", "40", "1").alias("d"), F.levenshtein("x", "y").alias("want")).collect()
+    assert [r.d for r in got] == [r.want for r in got] and all(r.most >= r.d for r in got) and [r.most for r in got] == [3, 5, 3, 0, 6]
