@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import re
+import time
 import zlib
 
 import duckdb
@@ -15,6 +16,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from check import normal
+from duesight import session
 from duesight.llm import bpe, common, fingerprints, graph, knn, langid, lines, ngram_join, packing, pii, quality, queries, secret_scan
 
 ODD = [None, "", " \n\t ", "x", "é" * 3000, "word " * 4000, "don't stop's 12.5 漢字 😀 <|endoftext|>!", "a\n\nb\n\n"]
@@ -444,3 +446,45 @@ def test_bounds_of_edit_distances(spark):
     pairs = spark.createDataFrame(rows, "x string, y string")
     got = pairs.select(lines.by_words("x", "y").alias("most"), lines.edit_distance("x", "y", "40", "1").alias("d"), F.levenshtein("x", "y").alias("want")).collect()
     assert [r.d for r in got] == [r.want for r in got] and all(r.most >= r.d for r in got) and [r.most for r in got] == [3, 5, 3, 0, 6]
+
+
+def test_pairs_met_one_hash_at_a_time(spark):
+    rng = np.random.default_rng(11)
+    bits = lambda: rng.integers(0, 2, 240)
+    lines_ = [bits() for _ in range(40)]
+    for i in range(40):
+        lines_ += [np.where(rng.random(240) < share, 1 - lines_[i], lines_[i]) for share in (0.02, 0.1, 0.25)]
+    rows = [(i, 100 if i % 7 else 130, *[int("".join(map(str, b[60 * j : 60 * j + 60])), 2) for j in range(4)]) for i, b in enumerate(lines_)]
+    marks = spark.createDataFrame(rows, "fp long, size int, s0 long, s1 long, s2 long, s3 long")
+    p, near = lines.LineParams(), set()
+    for a, b in ((a, b) for a in rows for b in rows if a[0] < b[0]):
+        apart = [(x ^ y).bit_count() for x, y in zip(a[2:], b[2:])]
+        meets = any(((a[2 + j] ^ b[2 + j]) >> 20 * k) & ((1 << 20) - 1) == 0 and apart[(j + 1) % 4] <= 20 for j in range(4) for k in range(3))
+        if meets and sum(apart) <= 0.27 * 240 and min(a[1], b[1]) >= 0.8 * max(a[1], b[1]):
+            near.add((a[0], b[0], max(a[1], b[1])))
+    met = [tuple(r) for j in range(4) for r in lines.met_in_blocks(marks, j, None, p).collect()]
+    assert len(near) > 40 and len(met) == len(set(met)) and set(met) == near
+    # What shares a crowded key is left to the leaders; pairs that meet elsewhere first are not.
+    crowded = lines.block_keys(marks).groupBy("key").count().filter("count > 2").select("key", F.col("count").alias("n"))
+    held = {r.key for r in crowded.collect()}
+    first = lambda a, b: next((3 * j + k << 20) + (a[2 + j] >> 20 * k) % (1 << 20) for j in range(4) for k in range(3) if ((a[2 + j] ^ b[2 + j]) >> 20 * k) % (1 << 20) == 0 and (a[2 + (j + 1) % 4] ^ b[2 + (j + 1) % 4]).bit_count() <= 20)
+    met = {tuple(r) for j in range(4) for r in lines.met_in_blocks(marks, j, crowded, p).collect()}
+    assert held and met == {x for x in near if first(rows[x[0]], rows[x[1]]) not in held}
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    def files():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        names = [found.apply(i).getName() for i in range(found.size())]
+        return {n for n in names if n.startswith("shuffle_")}
+
+    before, setting = files(), spark.conf.get(session._CLEANUP, None)
+    rows = session.materialize(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
+    until = time.time() + 20
+    while files() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not files() - before and rows.count() == 7
+    assert spark.conf.get(session._CLEANUP, None) == setting
+    with session.short_shuffles(spark), session.short_shuffles(spark):
+        assert spark.conf.get(session._CLEANUP) == "true"
+    assert spark.conf.get(session._CLEANUP, None) == setting
