@@ -3,11 +3,12 @@
 Spark ML boosts squared and absolute error only, so the trees are grown here, all quantiles at
 once. Features are cut into at most ``bins`` bins by their quantiles; the binned matrix is written
 once, in blocks of ``BLOCK`` rows whose columns are numpy buffers. Then, for every tree and level, tasks
-add up counts and gradients (``q`` above, ``q - 1`` below the prediction)
-by (quantile, node, feature, bin) and the shuffle sums what tasks have: at most
-``quantiles * 2^(depth-1) * features * bins`` cells reach the driver, whatever the number of
-rows. Splits maximise the squared gradient sums. A leaf's value is the quantile of the residuals in
-it, shrunk by the learning rate. Predictions so far stand beside the bins: every tree adds itself to the
+count rows above and below their prediction by (quantile, node, feature, bin) and their counts are
+summed: at most ``2 * quantiles * 2^(depth-1) * features * bins`` numbers reach the driver, whatever the number of
+rows. A pass over a level reads the bins and a bit a quantile, no more. Gradients (``q`` above, ``q - 1`` below)
+follow from the counts; splits maximise their squared sums. A leaf's value is the exact quantile of the residuals in
+it, shrunk by the learning rate: one pass counts them on a grid, one fetches the distinct ones in the cell
+that holds the quantile. Predictions so far stand beside the bins: every tree adds itself to the
 cached blocks, and every ``store_every`` trees they are written, so that lineage and work stay short
 and a lost executor repeats few trees of its blocks.
 
@@ -19,23 +20,27 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import StorageLevel
+from pyspark import RDD, StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..params import ModelParams
 from ..schemas import FEATURE_COLS
-from ..session import materialize, package_for_workers
+from ..session import materialize, new_folder, package_for_workers
 
 LABEL = "days_late"
 BINS = 32
 LEAST_ROWS = 20  # of a leaf
 STORE_EVERY = 10
 BLOCK = 1 << 15  # rows
+FEW_TASKS = 64  # whose sums the driver adds up by itself
+TASK_BLOCKS = 16
+GRID = 2046  # cells for the residuals of a leaf, without one for those beyond either end
 WHOLE_LEVELS = 6  # of a tree, up to 8
 
 
@@ -115,41 +120,54 @@ def _packed(bins: np.ndarray, y: np.ndarray, p: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(cells, ["n", "bins", "y", "p"])
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], trees: Trees) -> Iterator[tuple]:
-    """Bins by feature, labels, and predictions by quantile."""
-    for batch in batches:
-        for n, *cells in zip(*[batch.column(name) for name in ("n", "bins", "y", "p")]):
-            bins, y, p = (c.as_buffer() for c in cells)
-            n = n.as_py()
-            kind = np.uint8 if bins.size == n * len(trees.columns) else np.uint16
-            yield np.frombuffer(bins, kind).reshape(-1, n), np.frombuffer(y, float), np.frombuffer(p, float).reshape(-1, n)
+class Block(NamedTuple):
+    """Rows, bins by feature, labels, and predictions by quantile."""
 
+    n: int
+    bins: bytes
+    y: bytes
+    p: bytes
 
-def _level(rows: DataFrame, trees: Trees, level: int, bins: int) -> np.ndarray:
+
+def _bins(cells: bytes, n: int, trees: Trees) -> np.ndarray:
+    kind = np.uint8 if len(cells) == n * len(trees.columns) else np.uint16
+    return np.frombuffer(cells, kind).reshape(-1, n)
+
+
+def _opened(block: Block, trees: Trees) -> tuple[np.ndarray, ...]:
+    return _bins(block.bins, block.n, trees), np.frombuffer(block.y, float), np.frombuffer(block.p, float).reshape(-1, block.n)
+
+
+def _sided(block: Block) -> tuple[bytes, bytes]:
+    """Bins, and in a byte a row, whether its label is above each prediction."""
+    y, p = np.frombuffer(block.y, float), np.frombuffer(block.p, float).reshape(-1, block.n)
+    return block.bins, np.packbits(y > p, axis=0, bitorder="little")[0].tobytes()
+
+
+def _summed(parts: RDD, tasks: int) -> np.ndarray:
+    return parts.treeReduce(np.add, depth=1 if tasks <= FEW_TASKS else 2)
+
+
+def _level(sided: RDD, trees: Trees, level: int, bins: int, tasks: int) -> np.ndarray:
     """Counts and gradients ``[2, quantile, node, feature, bin]`` of a level of the last tree."""
     last, nodes, features = len(trees.value) - 1, 1 << level, len(trees.columns)
-    shape = (2, len(trees.quantiles), nodes, features, bins)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(shape)
-        for b, y, predictions in _blocks(batches, trees):
-            cell = np.empty(len(y), np.int64)
-            for q, quantile in enumerate(trees.quantiles):
-                base = (2 * trees.leaf(b, last, q, level) + (y > predictions[q])) * bins
+    cells = 2 * nodes * bins
+
+    def run(held: Iterator[tuple]) -> Iterator[np.ndarray]:
+        total = np.zeros((len(trees.quantiles), features, cells), np.int64)
+        for packed, sides in held:
+            above = np.frombuffer(sides, np.uint8)
+            b, cell = _bins(packed, len(above), trees), np.empty(len(above), np.int64)
+            for q in range(len(trees.quantiles)):
+                base = (2 * trees.leaf(b, last, q, level) + (above >> q & 1)) * bins
                 for f in range(features):
-                    # One count for both: rows below and above their prediction.
-                    n = np.bincount(np.add(base, b[f], out=cell), minlength=2 * nodes * bins).reshape(nodes, 2, bins)
-                    total[0, q, :, f] += n[:, 0] + n[:, 1]
-                    total[1, q, :, f] += quantile * n[:, 1] + (quantile - 1) * n[:, 0]
-        held = np.flatnonzero(total[0])
-        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(total[0].flat[held]), pa.array(total[1].flat[held])], ["cell", "n", "g"])
-
-    found = rows.mapInArrow(run, "cell long, n double, g double").groupBy("cell").agg(F.sum("n").alias("n"), F.sum("g").alias("g"))
-    cells = found.toArrow()  # as many as there are cells
-    out = np.zeros(shape)
-    at, n, g = (cells.column(c).to_numpy() for c in ("cell", "n", "g"))
-    out[0].flat[at], out[1].flat[at] = n, g
-    return out
+                    total[q, f] += np.bincount(np.add(base, b[f], out=cell), minlength=cells)
+        yield total
+
+    found = _summed(sided.mapPartitions(run), tasks).reshape(-1, features, nodes, 2, bins).swapaxes(1, 2)
+    below, above = found[..., 0, :], found[..., 1, :]
+    share = np.array(trees.quantiles)[:, None, None, None]
+    return np.stack([below + above, share * above + (share - 1) * below])
 
 
 def _best_splits(sums: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
@@ -168,34 +186,72 @@ def _best_splits(sums: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     return np.where(gains > 1e-12, feature, 0), np.where(gains > 1e-12, cut, 1 << 30)
 
 
-def _leaf_values(rows: DataFrame, trees: Trees) -> np.ndarray:
-    """The quantile of the residuals in every leaf of the last tree."""
-    last = len(trees.value) - 1
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b, y, predictions in _blocks(batches, trees):
-            for q in range(len(trees.quantiles)):
-                leaf = trees.leaf(b, last, q, trees.depth)
-                cells = [pa.array(q * trees.value.shape[2] + leaf), pa.array(y - predictions[q])]
-                yield pa.RecordBatch.from_arrays(cells, ["at", "r"])
-
-    cuts = F.percentile_approx("r", list(trees.quantiles), 10_000).alias("r")
-    found = rows.mapInArrow(run, "at long, r double").groupBy("at").agg(cuts).collect()
+def _leaf_values(rows: RDD, trees: Trees, reach: float, tasks: int) -> np.ndarray:
+    """The exact quantile of the residuals in every leaf of the last tree. Few of them should be
+    beyond ``reach`` on either side, or many are fetched."""
+    last, leaves = len(trees.value) - 1, trees.value.shape[2]
+    shares = range(len(trees.quantiles))
+
+    def placed(block: Block, q: int) -> tuple[np.ndarray, ...]:
+        """Residuals, and their places in the grids of their leaves."""
+        b, y, predictions = _opened(block, trees)
+        r = y - predictions[q]
+        cell = np.clip(np.floor((r + reach) * (GRID / (2 * reach))) + 1, 0, GRID + 1)
+        cell[np.isnan(cell)] = GRID + 1
+        return r, trees.leaf(b, last, q, trees.depth) * (GRID + 2) + cell.astype(np.int64)
+
+    def count(held: Iterator[Block]) -> Iterator[np.ndarray]:
+        total = np.zeros((len(trees.quantiles), leaves * (GRID + 2)), np.int64)
+        for block in held:
+            for q in shares:
+                total[q] += np.bincount(placed(block, q)[1], minlength=total.shape[1])
+        yield total
+
+    counted = _summed(rows.mapPartitions(count), tasks).reshape(-1, leaves, GRID + 2).cumsum(axis=-1)
+    n = counted[..., -1]
+    # Not a rank more where the product is rounded up.
+    rank = np.maximum(np.ceil(np.array(trees.quantiles)[:, None] * n - 1e-9).astype(np.int64), 1)
+    at = (counted < rank[..., None]).sum(axis=-1)  # beyond the grid where a leaf is empty
+    before = np.where(at > 0, np.take_along_axis(counted, np.maximum(at - 1, 0)[..., None], axis=-1)[..., 0], 0)
+    wanted = np.zeros((len(trees.quantiles), leaves, GRID + 3), bool)
+    np.put_along_axis(wanted, at[..., None], True, axis=-1)
+    wanted = wanted[..., : GRID + 2].reshape(len(trees.quantiles), -1)
+
+    def fetch(held: Iterator[Block]) -> Iterator[tuple]:
+        kept: list[list] = [[] for _ in shares]
+        for block in held:
+            for q in shares:
+                r, cell = placed(block, q)
+                some = wanted[q][cell]
+                kept[q].append(np.stack([cell[some] // (GRID + 2), r[some]]))
+        for q in shares:
+            if kept[q]:
+                yield q, *np.unique(np.concatenate(kept[q], axis=1), axis=1, return_counts=True)
+
+    found = rows.mapPartitions(fetch).collect()  # distinct values of one cell a leaf
     out = np.zeros(trees.value.shape[1:])
-    for row in found:
-        q, leaf = divmod(row["at"], out.shape[1])
-        out[q, leaf] = row.r[q]
+    for q in shares:
+        parts = [(x, m) for at_q, x, m in found if at_q == q]
+        if not parts:
+            continue
+        leaf, r = np.concatenate([x for x, _ in parts], axis=1)
+        m = np.concatenate([m for _, m in parts])
+        order = np.lexsort((r, leaf))
+        leaf, r, m = leaf[order].astype(np.int64), r[order], m[order]
+        for k in np.unique(leaf):
+            own = slice(*np.searchsorted(leaf, [k, k + 1]))
+            out[q, k] = r[own][np.searchsorted(m[own].cumsum(), rank[q, k] - before[q, k])]
     return out
 
 
-def _advanced(rows: DataFrame, trees: Trees) -> DataFrame:
+def _advanced(rows: RDD, trees: Trees) -> RDD:
     """The same blocks with the last tree added to their predictions."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b, y, predictions in _blocks(batches, trees):
-            yield _packed(b, y, trees.advance(predictions.copy(), b, len(trees.value) - 1))
+    def run(block: Block) -> Block:
+        b, _, predictions = _opened(block, trees)
+        return block._replace(p=trees.advance(predictions.copy(), b, len(trees.value) - 1).tobytes())
 
-    return rows.mapInArrow(run, _BLOCKS)
+    return rows.map(run)
 
 
 @dataclass
@@ -287,26 +343,35 @@ def fit_boosted_interval(
         if size:
             yield block()
 
-    rows, cached = materialize(known.mapInArrow(cut, _BLOCKS), "boost-bins"), []
+    spark = train.sparkSession
+    stored = materialize(known.mapInArrow(cut, _BLOCKS), "boost-bins")
+    count = stored.count()
+    tasks = max(1, min(count, max(spark.sparkContext.defaultParallelism, count // TASK_BLOCKS)))
+    # Whole blocks are dealt out evenly, whatever the files' sizes.
+    dealt = stored.repartition(tasks).rdd.map(lambda x: Block(x.n, bytes(x.bins), bytes(x.y), bytes(x.p)))
+    rows = dealt.persist(StorageLevel.MEMORY_AND_DISK)
+    spread = found[-1][len(probs) - 1] - found[-1][0]
+    reach = spread if spread > 0 else 1.0
+    behind: list[RDD] = []
     for number in range(p.trees):
         trees = trees.grown()
+        sided = rows.map(_sided).persist(StorageLevel.MEMORY_AND_DISK)
         for level in range(p.depth):
-            feature, last = _best_splits(_level(rows, trees, level, bins + 1), least)
+            feature, last = _best_splits(_level(sided, trees, level, bins + 1, tasks), least)
+            while behind:  # the blocks of the tree before are no longer needed
+                behind.pop().unpersist()
             nodes = slice((1 << level) - 1, (2 << level) - 1)
             trees.feature[-1, :, nodes], trees.cut[-1, :, nodes] = feature, last
-        trees.value[-1] = p.learning_rate * _leaf_values(rows, trees)
+        sided.unpersist()
+        trees.value[-1] = p.learning_rate * _leaf_values(rows, trees, reach, tasks)
         if number + 1 == p.trees:
             break
+        behind.append(rows)
         rows = _advanced(rows, trees)
         if (number + 1) % store_every == 0:
-            rows = materialize(rows, "boost-state")
-            while cached:
-                cached.pop().unpersist()
-        else:
-            rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-            cached.append(rows)
-            while len(cached) > 2:  # the one in front is read once more, to fill the last
-                cached.pop(0).unpersist()
-    while cached:
-        cached.pop().unpersist()
+            path = new_folder(spark, "boost-state")
+            rows.saveAsPickleFile(path, 1)
+            rows = spark.sparkContext.pickleFile(path)
+        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    rows.unpersist()
     return BoostedInterval(trees)
